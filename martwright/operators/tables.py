@@ -140,9 +140,11 @@ class Table:
         ``order`` (all columns when not given).
         """
         rows = self._conform(rows)
-        firsts = cut_lineage(
-            earliest_by(rows, keys, order or [c for c in rows.columns if c not in keys])
-        )
+        firsts = earliest_by(rows, keys, order or [c for c in rows.columns if c not in keys])
+        if not self.exists:
+            self.refresh(firsts)
+            return
+        firsts = cut_lineage(firsts)
         self.append(firsts.join(self._existing_keys(firsts, keys), list(keys), "left_anti"))
 
     def upsert(
@@ -151,18 +153,25 @@ class Table:
         keys: Sequence[str],
         order: Sequence[str | Column] | None = None,
         update: Mapping[str, Column] | None = None,
+        unique: bool = False,
     ) -> None:
         """MERGE: update the rows whose key exists, insert the others.
 
         ``update`` maps a column to an expression over ``t`` (target) and ``s``
         (source); without it every non-key column takes the source value.
         Several incoming rows of one key are reduced to the greatest by
-        ``order``. As in SQL, a NULL key matches nothing.
+        ``order``, unless the caller knows them to be ``unique``. As in SQL, a
+        NULL key matches nothing.
         """
-        rows = self._conform(rows)
-        source = cut_lineage(
-            latest_by(rows, keys, order or [c for c in rows.columns if c not in keys])
-        )
+        source = self._conform(rows)
+        if not unique:
+            source = latest_by(
+                source, keys, order or [c for c in source.columns if c not in keys]
+            )
+        if not self.exists:
+            self.refresh(source)
+            return
+        source = cut_lineage(source)
         target = self.read()
         touched = self._touched(source, keys)
         if touched is not None:
@@ -188,7 +197,7 @@ class Table:
         added = source.join(known, list(keys), "left_anti").select(*self.schema.names)
         # Kept rows come from files of one partition each; only additions need gathering.
         merged = kept.unionByName(self._gathered(added))
-        if touched is not None and self.exists:
+        if touched is not None:
             self._replace_slices(merged)
         else:
             self._replace(merged)

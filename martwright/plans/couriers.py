@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martwright import schemas
 from martwright.functions import parse_timestamp, ratio
+from martwright.operators.pick import latest_by
 from martwright.operators.surrogate import assign_ids, next_id, with_surrogate
 from martwright.operators.tables import Table
 
@@ -48,7 +49,9 @@ def load_couriers(documents: DataFrame, couriers: Table) -> None:
     named = documents.select(
         "object_id", F.get_json_object("object_value", "$.name").alias("name")
     )
-    couriers.upsert(assign_ids(named, couriers.read(), "id", ["object_id"]), ["object_id"])
+    named = latest_by(named, ["object_id"], ["name"])
+    rows = assign_ids(named, couriers.read(), "id", ["object_id"])
+    couriers.upsert(rows, ["object_id"], unique=True)
 
 
 def parsed_deliveries(documents: DataFrame) -> DataFrame:
@@ -96,7 +99,9 @@ def load_deliveries(
             "courier_id",
         )
     )
-    target.upsert(assign_ids(rows, target.read(), "id", ["delivery_id"]), ["delivery_id"])
+    rows = latest_by(rows, ["delivery_id"], ["delivery_ts", "order_ts", "order_id"])
+    numbered = assign_ids(rows, target.read(), "id", ["delivery_id"])
+    target.upsert(numbered, ["delivery_id"], unique=True)
 
 
 def courier_facts(

@@ -66,7 +66,9 @@ def load_global_metrics(
     mart: Table, transactions: DataFrame, currencies: DataFrame, load_date: str | None = None
 ) -> None:
     mart.upsert(
-        global_metrics(transactions, currencies, load_date), ["date_update", "currency_from"]
+        global_metrics(transactions, currencies, load_date),
+        ["date_update", "currency_from"],
+        unique=True,
     )
 
 

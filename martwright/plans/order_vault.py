@@ -45,14 +45,14 @@ def closed_orders(messages: DataFrame) -> DataFrame:
         number_text(body["cost"]).alias("cost"),
         number_text(body["payment"]).alias("payment"),
         body["status"].alias("status"),
-        body["user.id"].alias("user_id"),
-        body["user.name"].alias("username"),
-        body["user.name"].alias("userlogin"),
-        body["restaurant.id"].alias("restaurant_id"),
-        body["restaurant.name"].alias("restaurant_name"),
+        body["user"]["id"].alias("user_id"),
+        body["user"]["name"].alias("username"),
+        body["user"]["name"].alias("userlogin"),
+        body["restaurant"]["id"].alias("restaurant_id"),
+        body["restaurant"]["name"].alias("restaurant_name"),
         uuid5(body["id"]).alias("h_order_pk"),
-        uuid5(body["user.id"]).alias("h_user_pk"),
-        uuid5(body["restaurant.id"]).alias("h_restaurant_pk"),
+        uuid5(body["user"]["id"]).alias("h_user_pk"),
+        uuid5(body["restaurant"]["id"]).alias("h_restaurant_pk"),
         body["products"].alias("products"),
     )
 
