@@ -29,11 +29,13 @@ def islands(
     column). Pieces of the same island share its id; group by it to finish.
     """
     keys = list(keys)
+    # Rows without key or time have no place on a time line. Said here, before
+    # the shuffle, it keeps both uses of the shuffle alike, so Spark does it once.
     rows = df.withColumn("_slice", slice_of)
+    for column in (*keys, "_slice"):
+        rows = rows.where(F.col(column).isNotNull())
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    change = F.coalesce(
-        (~F.col(value).eqNullSafe(F.lag(value).over(inside))).cast("int"), F.lit(1)
-    )
+    change = (~F.col(value).eqNullSafe(F.lag(value).over(inside))).cast("int")
     first = F.row_number().over(inside) == 1
     pieces = (
         rows.withColumn("_starts", F.when(first, 1).otherwise(change))

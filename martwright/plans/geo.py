@@ -19,6 +19,7 @@ from martwright.operators.pick import earliest_by, latest_by
 from martwright.operators.quality import QualityError
 from martwright.operators.skew import HOT_ROWS
 from martwright.operators.spatial import nearest, pairs_within
+from martwright.operators.workspace import cut_lineage
 
 # Time zone of each city.
 CITY_ZONES = {
@@ -158,7 +159,7 @@ def users_travel(stays: DataFrame, semantics: str = "corrected") -> DataFrame:
 def users_home_city(stays: DataFrame, min_days: int = HOME_DAYS) -> DataFrame:
     """City of the last stay with messages on at least ``min_days`` different days."""
     days = stays.select(
-        "user_id", "island_id", "city", F.substring("_slice", 1, 10).alias("day")
+        "user_id", "island_id", "city", F.substring("_slice", 1, 10).cast("date").alias("day")
     )
     long_stays = (
         days.groupBy("user_id", "island_id", "city")
@@ -175,8 +176,11 @@ def users_home_city(stays: DataFrame, min_days: int = HOME_DAYS) -> DataFrame:
 def users_mart(
     events: DataFrame, semantics: str = "corrected", min_days: int = HOME_DAYS
 ) -> DataFrame:
-    """Current city, local time, home city and travel history per user."""
-    stays = city_stays(events)
+    """Current city, local time, home city and travel history per user.
+
+    Home city and travel both read the stays, so these are written out once.
+    """
+    stays = cut_lineage(city_stays(events))
     mart = (
         users_act_city(events)
         .join(users_home_city(stays, min_days), "user_id", "left")
@@ -283,9 +287,9 @@ def friends_mart(
         ["user_id"],
         ["event_ts", "event_id"],
     ).select("user_id", "lat", "lon", F.col("city").alias("zone_id"))
+    located = cut_lineage(members.join(places.select("user_id", "lat", "lon"), "user_id"))
     pairs = pairs_within(
-        members.join(places.select("user_id", "lat", "lon"), "user_id"),
-        "group_id", "user_id", "lat", "lon", radius_km, hot_rows,
+        located, "group_id", "user_id", "lat", "lon", radius_km, hot_rows
     ).select(F.col("left").alias("user_left"), F.col("right").alias("user_right"))
     if semantics != "reference":
         pairs = pairs.distinct()
