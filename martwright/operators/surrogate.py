@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.operators.workspace import cut_lineage
-
 # Hex digits of the digest that name a bucket: 3 digits are 4096 buckets.
 BUCKET_DIGITS = 3
 
@@ -48,22 +46,6 @@ def with_surrogate(
     )
 
 
-def assign_ids(
-    rows: DataFrame, known: DataFrame, id_col: str, natural_key: Sequence[str]
-) -> DataFrame:
-    """Rows with the id their key has in ``known``, or the next free one.
-
-    ``known`` holds ``id_col`` and the key. The looked-up rows are written out
-    once, since known and new members go separate ways from there.
-    """
-    keys = list(natural_key)
-    looked_up = cut_lineage(rows.join(known.select(id_col, *keys), keys, "left"))
-    matched = looked_up.where(F.col(id_col).isNotNull())
-    fresh = looked_up.where(F.col(id_col).isNull()).drop(id_col)
-    numbered = with_surrogate(fresh, id_col, keys, next_id(known, id_col))
-    return matched.unionByName(numbered)
-
-
 def next_id(table: DataFrame, id_col: str) -> int:
     """Greatest id in use, 0 for an empty table."""
     return table.agg(F.max(id_col)).first()[0] or 0

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.operators.pick import earliest_by, latest_by
+from martwright.operators.surrogate import next_id, with_surrogate
 from martwright.operators.workspace import cut_lineage
 
 # More touched partitions than this are not listed on the driver; the whole
@@ -74,11 +75,21 @@ class Table:
 
     # -- writing -----------------------------------------------------------
 
-    def _conform(self, rows: DataFrame) -> DataFrame:
+    def _conform(self, rows: DataFrame, without: str | None = None) -> DataFrame:
         return rows.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+            *[
+                F.col(f.name).cast(f.dataType).alias(f.name)
+                for f in self.schema.fields
+                if f.name != without
+            ]
         )
 
+    def _numbered(self, rows: DataFrame, keys: Sequence[str], id_col: str | None) -> DataFrame:
+        """New rows with the next surrogate ids, if the table has such a column."""
+        if id_col is None:
+            return rows
+        return with_surrogate(rows, id_col, keys, next_id(self.read(), id_col))
+
     def _gathered(self, rows: DataFrame) -> DataFrame:
         """Rows of one partition value brought together before the write.
 
@@ -133,19 +144,22 @@ class Table:
         rows: DataFrame,
         keys: Sequence[str],
         order: Sequence[str | Column] | None = None,
+        id_col: str | None = None,
     ) -> None:
         """Insert rows whose key is absent; existing rows stay as they are.
 
         Several incoming rows of one key are reduced to the smallest by
-        ``order`` (all columns when not given).
+        ``order`` (all columns when not given). With ``id_col`` the inserted
+        rows get the next surrogate ids.
         """
-        rows = self._conform(rows)
+        rows = self._conform(rows, id_col)
         firsts = earliest_by(rows, keys, order or [c for c in rows.columns if c not in keys])
         if not self.exists:
-            self.refresh(firsts)
+            self.refresh(self._numbered(firsts, keys, id_col))
             return
         firsts = cut_lineage(firsts)
-        self.append(firsts.join(self._existing_keys(firsts, keys), list(keys), "left_anti"))
+        fresh = firsts.join(self._existing_keys(firsts, keys), list(keys), "left_anti")
+        self.append(self._numbered(fresh, keys, id_col))
 
     def upsert(
         self,
@@ -154,29 +168,33 @@ class Table:
         order: Sequence[str | Column] | None = None,
         update: Mapping[str, Column] | None = None,
         unique: bool = False,
+        id_col: str | None = None,
     ) -> None:
         """MERGE: update the rows whose key exists, insert the others.
 
         ``update`` maps a column to an expression over ``t`` (target) and ``s``
         (source); without it every non-key column takes the source value.
         Several incoming rows of one key are reduced to the greatest by
-        ``order``, unless the caller knows them to be ``unique``. As in SQL, a
-        NULL key matches nothing.
+        ``order``, unless the caller knows them to be ``unique``. With
+        ``id_col`` updated rows keep their surrogate id and inserted rows get
+        the next ones. As in SQL, a NULL key matches nothing.
         """
-        source = self._conform(rows)
+        source = self._conform(rows, id_col)
         if not unique:
             source = latest_by(
                 source, keys, order or [c for c in source.columns if c not in keys]
             )
         if not self.exists:
-            self.refresh(source)
+            self.refresh(self._numbered(source, keys, id_col))
             return
         source = cut_lineage(source)
         target = self.read()
         touched = self._touched(source, keys)
         if touched is not None:
             target = target.where(touched)
-        setters = update or {c: F.col(f"s.{c}") for c in self.schema.names if c not in keys}
+        setters = update or {
+            c: F.col(f"s.{c}") for c in source.columns if c not in keys
+        }
         hit = F.col("s._hit").isNotNull()
         on = functools.reduce(
             lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
@@ -194,7 +212,8 @@ class Table:
             )
         )
         known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
-        added = source.join(known, list(keys), "left_anti").select(*self.schema.names)
+        fresh = source.join(known, list(keys), "left_anti")
+        added = self._numbered(fresh, keys, id_col).select(*self.schema.names)
         # Kept rows come from files of one partition each; only additions need gathering.
         merged = kept.unionByName(self._gathered(added))
         if touched is not None:

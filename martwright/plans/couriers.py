@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from martwright import schemas
 from martwright.functions import parse_timestamp, ratio
 from martwright.operators.pick import latest_by
-from martwright.operators.surrogate import assign_ids, next_id, with_surrogate
 from martwright.operators.tables import Table
 
 # Fixed values: (lowest rating, highest rating, percent of the order, least payment).
@@ -50,8 +49,7 @@ def load_couriers(documents: DataFrame, couriers: Table) -> None:
         "object_id", F.get_json_object("object_value", "$.name").alias("name")
     )
     named = latest_by(named, ["object_id"], ["name"])
-    rows = assign_ids(named, couriers.read(), "id", ["object_id"])
-    couriers.upsert(rows, ["object_id"], unique=True)
+    couriers.upsert(named, ["object_id"], unique=True, id_col="id")
 
 
 def parsed_deliveries(documents: DataFrame) -> DataFrame:
@@ -61,12 +59,10 @@ def parsed_deliveries(documents: DataFrame) -> DataFrame:
 
 
 def load_addresses(deliveries: DataFrame, addresses: Table) -> None:
-    seen = deliveries.select(F.col("address").alias("delivery_address")).distinct()
-    known = addresses.read()
-    fresh = seen.where("delivery_address IS NOT NULL").join(
-        known.select("delivery_address"), "delivery_address", "left_anti"
+    seen = deliveries.select(F.col("address").alias("delivery_address"))
+    addresses.insert_if_new(
+        seen.where("delivery_address IS NOT NULL"), ["delivery_address"], id_col="id"
     )
-    addresses.append(with_surrogate(fresh, "id", ["delivery_address"], next_id(known, "id")))
 
 
 def load_deliveries(
@@ -100,8 +96,7 @@ def load_deliveries(
         )
     )
     rows = latest_by(rows, ["delivery_id"], ["delivery_ts", "order_ts", "order_id"])
-    numbered = assign_ids(rows, target.read(), "id", ["delivery_id"])
-    target.upsert(numbered, ["delivery_id"], unique=True)
+    target.upsert(rows, ["delivery_id"], unique=True, id_col="id")
 
 
 def courier_facts(
