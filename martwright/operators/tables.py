@@ -69,7 +69,8 @@ class Table:
         """Rows of the current version; no rows before the first load."""
         done = self.versions()
         if not done:
-            return self.spark.createDataFrame([], self.schema)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+            return self.spark.range(0).select(*nothing)
         frame = self.spark.read.schema(self.schema).parquet(self.location(done[-1]))
         return frame.select(*self.schema.names)
 
@@ -88,7 +89,8 @@ class Table:
         """New rows with the next surrogate ids, if the table has such a column."""
         if id_col is None:
             return rows
-        return with_surrogate(rows, id_col, keys, next_id(self.read(), id_col))
+        start = next_id(self.read(), id_col) if self.exists else 0
+        return with_surrogate(rows, id_col, keys, start)
 
     def _gathered(self, rows: DataFrame) -> DataFrame:
         """Rows of one partition value brought together before the write.
