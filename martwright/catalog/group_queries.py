@@ -8,7 +8,7 @@ from martwright import schemas
 from martwright.catalog.registry import query
 from martwright.catalog.views import day, view
 from martwright.operators.tables import Table
-from martwright.operators.workspace import scratch
+from martwright.operators.workspace import cut_lineage, scratch
 from martwright.plans import group_vault as plan
 
 _NOW = "2024-02-01 00:00:00"
@@ -30,20 +30,25 @@ def _vault(spark, sf_dir):
     return log, dialogs, h_users, h_groups
 
 
-def _added(spark, sf_dir, semantics):
+def _oldest(spark, sf_dir):
+    return cut_lineage(plan.oldest_groups(_vault(spark, sf_dir)[3]))
+
+
+def _added(spark, sf_dir, semantics, groups=None):
     log, _, h_users, h_groups = _vault(spark, sf_dir)
     link = plan.link_user_group_activity(log, h_users, h_groups, _now())
     history = plan.auth_history(log, h_users, h_groups, link, _now())
-    return plan.users_added(history, link, semantics), h_groups
+    return plan.users_added(history, link, semantics, groups), h_groups
 
 
-def _messaging(spark, sf_dir):
+def _messaging(spark, sf_dir, groups=None):
     _, dialogs, h_users, h_groups = _vault(spark, sf_dir)
     h_dialogs = plan.hub_dialogs(dialogs, _now())
     return plan.users_with_messages(
         plan.link_groups_dialogs(dialogs, h_groups, h_dialogs, _now()),
         h_dialogs,
         plan.link_user_message(dialogs, h_users, h_dialogs, _now()),
+        groups,
     )
 
 
@@ -68,14 +73,16 @@ FROM oldest o LEFT JOIN ({added}) a ON a.group_id = o.group_id
 
 @query("group_conversion", _conversion_sql("user_id_from"))
 def group_conversion(spark, sf_dir):
-    added, h_groups = _added(spark, sf_dir, "reference")
-    return plan.group_conversion(h_groups, added, _messaging(spark, sf_dir))
+    groups = _oldest(spark, sf_dir)
+    added, _ = _added(spark, sf_dir, "reference", groups)
+    return plan.group_conversion(groups, added, _messaging(spark, sf_dir, groups))
 
 
 @query("group_conversion_corrected", _conversion_sql("user_id"))
 def group_conversion_corrected(spark, sf_dir):
-    added, h_groups = _added(spark, sf_dir, "corrected")
-    return plan.group_conversion(h_groups, added, _messaging(spark, sf_dir))
+    groups = _oldest(spark, sf_dir)
+    added, _ = _added(spark, sf_dir, "corrected", groups)
+    return plan.group_conversion(groups, added, _messaging(spark, sf_dir, groups))
 
 
 @query(

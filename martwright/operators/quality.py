@@ -71,7 +71,7 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             parts.append(_count(repeated, rule))
         elif rule.foreign:
             column, parent, parent_key = rule.foreign
-            keys = parent.select(F.col(parent_key).alias(column)).distinct()
+            keys = parent.select(F.col(parent_key).alias(column))
             orphans = df.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
             parts.append(_count(orphans, rule))
     return functools.reduce(DataFrame.unionByName, parts)

@@ -112,9 +112,10 @@ class Table:
 
     def refresh(self, rows: DataFrame) -> None:
         """Replace the whole content (truncate and insert) as a new version."""
-        self._replace(self._gathered(rows))
+        self.replace(self._gathered(rows))
 
-    def _replace(self, rows: DataFrame) -> None:
+    def replace(self, rows: DataFrame) -> None:
+        """Like :meth:`refresh`, with the rows laid out as they come."""
         done = self.versions()
         self._write(rows, self.location(done[-1] + 1 if done else 1), "overwrite")
 
@@ -132,14 +133,14 @@ class Table:
         done = self.versions()
         if not done:
             # A dynamic overwrite leaves no _SUCCESS marker; the first load must.
-            self._replace(rows)
+            self.replace(rows)
         else:
             self._write(rows, self.location(done[-1]), "overwrite", dynamic=True)
 
     def _existing_keys(self, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Keys of ``incoming`` that the table already holds."""
         wanted = incoming.select(*keys)
-        return self.read().select(*keys).join(wanted, list(keys), "left_semi").distinct()
+        return self.read().select(*keys).join(wanted, list(keys), "left_semi")
 
     def insert_if_new(
         self,
@@ -213,7 +214,7 @@ class Table:
                 ]
             )
         )
-        known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+        known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
         fresh = source.join(known, list(keys), "left_anti")
         added = self._numbered(fresh, keys, id_col).select(*self.schema.names)
         # Kept rows come from files of one partition each; only additions need gathering.
@@ -221,7 +222,7 @@ class Table:
         if touched is not None:
             self._replace_slices(merged)
         else:
-            self._replace(merged)
+            self.replace(merged)
 
     def _touched(self, source: DataFrame, keys: Sequence[str]) -> Column | None:
         """Predicate for the partitions an upsert touches, if it can be confined to them."""

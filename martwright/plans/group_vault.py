@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions import hash_key
 from martwright.operators.tables import Table
+from martwright.operators.workspace import cut_lineage
 
 LOAD_SOURCE = "s3"
 
@@ -124,15 +125,19 @@ def load_history(rows: DataFrame, satellite: Table, semantics: str = "corrected"
     ``reference`` skips a link once it has any event, so its later events are
     lost. ``corrected`` compares the event itself.
     """
-    stored = satellite.read()
+    link_key = "hk_l_user_group_activity"
+    event = [link_key, "event", "event_dt", "user_id_from"]
+    if semantics != "reference":
+        rows = rows.dropDuplicates(event)
+    rows = cut_lineage(rows)
+    # Only the history of the delivered links matters; a small delivery is
+    # broadcast to the stored rows rather than these being shuffled.
+    delivered = rows.select(link_key).distinct()
+    stored = satellite.read().select(*event).join(delivered, link_key, "left_semi")
     if semantics == "reference":
-        key = ["hk_l_user_group_activity"]
-        known = stored.select(*key).distinct()
-        satellite.append(rows.join(known, key, "left_anti"))
+        satellite.append(rows.join(stored.select(link_key), link_key, "left_anti"))
         return
-    event = ["hk_l_user_group_activity", "event", "event_dt", "user_id_from"]
-    rows = rows.dropDuplicates(event)
-    known = stored.select(*event).distinct()
+    known = stored.select(*event)
     # user_id_from is NULL for users who joined on their own.
     same = [rows[c].eqNullSafe(known[c]) for c in event]
     satellite.append(rows.join(known, same, "left_anti"))
@@ -141,13 +146,31 @@ def load_history(rows: DataFrame, satellite: Table, semantics: str = "corrected"
 # -- reports ----------------------------------------------------------------
 
 
+def oldest_groups(h_groups: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` groups registered first, ties by group id."""
+    return h_groups.select("hk_group_id", "group_id", "registration_dt").orderBy(
+        "registration_dt", "group_id"
+    ).limit(k)
+
+
+def _within(links: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Links of the given groups only; a short list of groups is broadcast."""
+    if groups is None:
+        return links
+    return links.join(groups.select("hk_group_id"), "hk_group_id", "left_semi")
+
+
 def users_added(
-    history: DataFrame, link: DataFrame, semantics: str = "reference"
+    history: DataFrame,
+    link: DataFrame,
+    semantics: str = "reference",
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """Distinct users of 'add' events per group.
+    """Distinct users of 'add' events per group, of all groups or the given ones.
 
     ``reference`` counts the inviting users, ``corrected`` the added ones.
     """
+    link = _within(link, groups)
     added = history.where(F.col("event") == "add").join(
         link.select("hk_l_user_group_activity", "hk_group_id", "hk_user_id"),
         "hk_l_user_group_activity",
@@ -157,11 +180,14 @@ def users_added(
 
 
 def users_with_messages(
-    l_groups_dialogs: DataFrame, h_dialogs: DataFrame, l_user_message: DataFrame
+    l_groups_dialogs: DataFrame,
+    h_dialogs: DataFrame,
+    l_user_message: DataFrame,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct users per group who wrote at least one message."""
     return (
-        l_groups_dialogs.select("hk_message_id", "hk_group_id")
+        _within(l_groups_dialogs, groups).select("hk_message_id", "hk_group_id")
         .join(h_dialogs.select("hk_message_id"), "hk_message_id")
         .join(l_user_message.select("hk_message_id", "hk_user_id"), "hk_message_id")
         .groupBy("hk_group_id")
@@ -175,19 +201,19 @@ def smallest(counts: DataFrame, h_groups: DataFrame, measure: str, k: int = 10)
     return named.select("group_id", measure).orderBy(measure, "group_id").limit(k)
 
 
-def group_conversion(
-    h_groups: DataFrame, added: DataFrame, messaging: DataFrame, k: int = 10
-) -> DataFrame:
-    """Share of added users who wrote, for the ``k`` oldest groups."""
-    oldest = (
-        h_groups.orderBy("registration_dt", "group_id").limit(k).select("hk_group_id", "group_id")
-    )
+def group_conversion(groups: DataFrame, added: DataFrame, messaging: DataFrame) -> DataFrame:
+    """Share of added users who wrote, for the given (oldest) groups.
+
+    Give the same groups to :func:`users_added` and :func:`users_with_messages`,
+    so that only their rows are counted.
+    """
     share = F.try_divide(
         F.col("cnt_users_in_group_with_messages").cast("double"),
         F.col("cnt_added_users").cast("double"),
     )
     return (
-        oldest.join(added, "hk_group_id", "left")
+        groups.select("hk_group_id", "group_id")
+        .join(added, "hk_group_id", "left")
         .join(messaging, "hk_group_id", "left")
         .withColumn("group_conversion", share)
         .select(

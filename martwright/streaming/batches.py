@@ -20,6 +20,9 @@ from martwright.operators.tables import Table
 BATCH = "batch"
 MERGED = "merged"
 
+# Batches with up to this many keys are looked up by value.
+MAX_LISTED_KEYS = 200
+
 
 def batch_name(stream: str, epoch_id: int) -> str:
     """Name of a micro-batch; ``stream`` names the checkpoint the epochs belong to."""
@@ -38,18 +41,35 @@ def insert_new(
     batch: str,
     order: Sequence[str | Column] | None = None,
 ) -> None:
-    """Insert-or-ignore by ``keys``; rows without a complete key are skipped.
-
-    The table is reduced to the keys of the batch before the anti-join, so a
-    small batch is broadcast and the table's keys are scanned in place.
-    """
+    """Insert-or-ignore by ``keys``; rows without a complete key are skipped."""
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
     firsts = earliest_by(rows, keys, order or [c for c in rows.columns if c not in keys])
-    others = table.read().where(F.col(BATCH) != batch)
-    known = others.select(*keys).join(firsts.select(*keys), list(keys), "left_semi").distinct()
-    fresh = firsts.join(known, list(keys), "left_anti")
-    table.overwrite_slices(fresh.withColumn(BATCH, F.lit(batch)))
+    if table.exists:
+        others = table.read().where(F.col(BATCH) != batch).select(*keys)
+        firsts = firsts.join(_matching(others, firsts, keys), list(keys), "left_anti")
+    table.overwrite_slices(firsts.withColumn(BATCH, F.lit(batch)))
+
+
+def _matching(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored keys that occur in the batch.
+
+    The few keys of a small batch go to the scan as a filter, where they skip
+    all row groups that cannot hold them (see :func:`compact`). The keys of a
+    larger batch meet the stored ones in a semi-join; give this function rows
+    from written files, so that Spark knows their size and broadcasts them
+    where it can instead of shuffling the table.
+    """
+    if len(keys) == 1:
+        listed = incoming.select(keys[0]).limit(MAX_LISTED_KEYS + 1).collect()
+        if 0 < len(listed) <= MAX_LISTED_KEYS:
+            tests = [F.col(keys[0]) == row[0] for row in listed]
+            # A balanced tree of ORs: Parquet evaluates it against row-group bounds.
+            while len(tests) > 1:
+                pairs = [tests[i : i + 2] for i in range(0, len(tests), 2)]
+                tests = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
+            return stored.where(tests[0])
+    return stored.join(incoming.select(*keys), list(keys), "left_semi")
 
 
 def rows_of(table: Table, batch: str) -> DataFrame:
@@ -62,10 +82,14 @@ def replace_batch(table: Table, rows: DataFrame, batch: str) -> None:
     table.overwrite_slices(rows.withColumn(BATCH, F.lit(batch)))
 
 
-def compact(table: Table) -> None:
-    """Gather the partitions of finished batches in one, as a new version."""
+def compact(table: Table, keys: Sequence[str]) -> None:
+    """Gather the partitions of finished batches in one, as a new version.
+
+    Rows are laid out in the order of ``keys``: every row group then covers a
+    narrow range of them, which look-ups of single keys skip by its bounds.
+    """
     rows = table.read().withColumn(BATCH, F.lit(MERGED))
-    table._replace(rows)
+    table.replace(rows.repartitionByRange(*keys).sortWithinPartitions(*keys))
 
 
 def run_stream(

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright import schemas
 from martwright.operators.tables import Table
+from martwright.operators.workspace import cut_lineage
 from martwright.plans.notifications import NOTIFICATION_KEY, active_campaigns, notifications
 from martwright.sources.readers import read_messages
 from martwright.sources.writers import as_messages, write_messages
@@ -35,27 +35,25 @@ def campaign_handler(
 ) -> Callable[[DataFrame, int], None]:
     """Handler of one micro-batch.
 
-    Subscribers are read again for every batch. Campaigns are filtered before
+    The batch is written out once, so that both sinks see the same rows and
+    the joins know how small it is. Subscribers are read again for every batch. Campaigns are filtered before
     the join, so only the active ones meet the subscribers. The keyed table is
     written first; what it took as new is then pushed.
     """
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         moment = now()
-        active = active_campaigns(batch, moment).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if active.isEmpty():
-                return
-            name = batch_name(stream, epoch_id)
-            rows = notifications(active, subscribers(), moment).withColumn(
-                "feedback", F.lit(None).cast("string")
-            )
-            # A campaign is announced once; the earliest message wins.
-            order = ["datetime_created", "adv_campaign_datetime_start", "adv_campaign_content"]
-            insert_new(feedback, rows, NOTIFICATION_KEY, name, order)
-            write_messages(as_messages(rows_of(feedback, name).drop("feedback")), push, name)
-        finally:
-            active.unpersist()
+        active = cut_lineage(active_campaigns(batch, moment))
+        if active.isEmpty():
+            return
+        name = batch_name(stream, epoch_id)
+        rows = cut_lineage(notifications(active, subscribers(), moment)).withColumn(
+            "feedback", F.lit(None).cast("string")
+        )
+        # A campaign is announced once; the earliest message wins.
+        order = ["datetime_created", "adv_campaign_datetime_start", "adv_campaign_content"]
+        insert_new(feedback, rows, NOTIFICATION_KEY, name, order)
+        write_messages(as_messages(rows_of(feedback, name).drop("feedback")), push, name)
 
     return handle
 

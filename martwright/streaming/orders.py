@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright import schemas
 from martwright.operators.tables import Table
+from martwright.operators.workspace import cut_lineage
 from martwright.plans.order_vault import (
     VAULT,
     closed_orders,
@@ -57,7 +57,7 @@ def start_landing(
     messages = read_messages(spark, source, schema)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        insert_new(landing, batch, ["object_id"], batch_name(stream, epoch_id))
+        insert_new(landing, cut_lineage(batch), ["object_id"], batch_name(stream, epoch_id))
 
     return run_stream(messages, handle, checkpoint, trigger)
 
@@ -82,23 +82,20 @@ def vault_handler(
     """Handler of one micro-batch of order messages."""
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        orders = closed_orders(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if orders.isEmpty():
-                return
-            name = batch_name(stream, epoch_id)
-            rows_by_table = vault_rows(orders)
-            for table, target in tables.items():
-                rows = rows_by_table[table]
-                stamped = rows.withColumn(
-                    "load_dt", F.current_timestamp().cast("timestamp_ntz")
-                ).withColumn("load_src", F.lit(LOAD_SOURCE))
-                key = VAULT[table]
-                content = [c for c in rows.columns if c != key]
-                insert_new(target, stamped, [key], name, content)
-            write_messages(as_messages(enriched_messages(orders)), enriched, name)
-        finally:
-            orders.unpersist()
+        orders = cut_lineage(closed_orders(batch))
+        if orders.isEmpty():
+            return
+        name = batch_name(stream, epoch_id)
+        rows_by_table = vault_rows(orders)
+        for table, target in tables.items():
+            rows = rows_by_table[table]
+            stamped = rows.withColumn(
+                "load_dt", F.current_timestamp().cast("timestamp_ntz")
+            ).withColumn("load_src", F.lit(LOAD_SOURCE))
+            key = VAULT[table]
+            content = [c for c in rows.columns if c != key]
+            insert_new(target, stamped, [key], name, content)
+        write_messages(as_messages(enriched_messages(orders)), enriched, name)
 
     return handle
 
@@ -147,18 +144,15 @@ def counter_handler(
     """
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        orders = batch.dropDuplicates(["object_id"]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if orders.isEmpty():
-                return
-            name = batch_name(stream, epoch_id)
-            insert_new(tables["counted"], orders.select("object_id"), ["object_id"], name)
-            fresh = orders.join(rows_of(tables["counted"], name), "object_id", "left_semi")
-            lines = counter_lines(fresh)
-            for subject in ("product", "category"):
-                replace_batch(tables[subject], count_orders(lines, subject, semantics), name)
-        finally:
-            orders.unpersist()
+        orders = cut_lineage(batch.dropDuplicates(["object_id"]))
+        if orders.isEmpty():
+            return
+        name = batch_name(stream, epoch_id)
+        insert_new(tables["counted"], orders.select("object_id"), ["object_id"], name)
+        fresh = orders.join(rows_of(tables["counted"], name), "object_id", "left_semi")
+        lines = counter_lines(fresh)
+        for subject in ("product", "category"):
+            replace_batch(tables[subject], count_orders(lines, subject, semantics), name)
 
     return handle
 

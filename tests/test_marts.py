@@ -227,7 +227,8 @@ def test_conversion_without_added_users_is_null(spark):
     added = spark.createDataFrame([(12, 4)], "hk_group_id BIGINT, cnt_added_users BIGINT")
     wrote = spark.createDataFrame(
         [(11, 1), (12, 1)], "hk_group_id BIGINT, cnt_users_in_group_with_messages BIGINT")
-    found = [tuple(r) for r in group_vault.group_conversion(h_groups, added, wrote).collect()]
+    found = [tuple(r) for r in group_vault.group_conversion(
+        group_vault.oldest_groups(h_groups), added, wrote).collect()]
     assert found == [(1, None, 1, None), (2, 4, 1, 0.25)]
 
 

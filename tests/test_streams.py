@@ -130,7 +130,7 @@ def test_same_batch_again_changes_nothing(spark, tmp_path, rows):
     assert rows(spark.read.text(push["path"])) == sent
     handle(batch, 1)  # the same orders in a later batch
     assert tables["h_order"].read().count() == 2
-    batches.compact(tables["h_order"])
+    batches.compact(tables["h_order"], ["h_order_pk"])
     handle(batch, 2)
     assert tables["h_order"].read().count() == 2
 
