@@ -101,6 +101,25 @@ def transactions_day_extract(spark, sf_dir):
     return plan.day_of(view(spark, sf_dir, "v_transactions"), "transaction_dt", "1998-08-02")
 
 
+@query(
+    "staging_day_overwrite",
+    "SELECT event_id, event_type, ts, CAST(ts AS DATE) AS load_date FROM {events}",
+)
+def staging_day_overwrite(spark, sf_dir):
+    """All days staged, two of them a second time: nothing is doubled."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "ts")
+    staging = Table(
+        spark,
+        scratch(spark, "staging"),
+        "event_id BIGINT, event_type STRING, ts TIMESTAMP_NTZ, load_date DATE",
+        ["load_date"],
+    )
+    plan.stage_days(events, "ts", staging)
+    for day in ("2024-01-10", "2024-01-11"):
+        plan.stage_days(events, "ts", staging, day)
+    return staging.read()
+
+
 @query(
     "audit_log",
     """SELECT 'STAGING' AS schema_name, 'transactions' AS table_name, COUNT(*) AS rows_loaded,

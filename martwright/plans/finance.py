@@ -18,6 +18,16 @@ def day_of(rows: DataFrame, column: str, day: str) -> DataFrame:
     return rows.where(F.col(column).cast("date") == F.lit(day).cast("date"))
 
 
+def stage_days(rows: DataFrame, column: str, staging: Table, day: str | None = None) -> None:
+    """Land extracted rows by day of ``column``, all days or just ``day``.
+
+    ``staging`` is partitioned by ``load_date``. A day that is extracted again
+    replaces itself instead of doubling the base of the metrics.
+    """
+    extract = rows if day is None else day_of(rows, column, day)
+    staging.overwrite_slices(extract.withColumn("load_date", F.col(column).cast("date")))
+
+
 def global_metrics(
     transactions: DataFrame, currencies: DataFrame, load_date: str | None = None
 ) -> DataFrame:
