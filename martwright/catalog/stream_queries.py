@@ -21,7 +21,7 @@ NOW = 1700003000
 def _land(messages, path):
     """Two folders with the same messages: the second is a replay."""
     messages.write.text(f"{path}/part=1")
-    messages.write.text(f"{path}/part=2")
+    messages.sparkSession.read.text(f"{path}/part=1").write.text(f"{path}/part=2")
     return {"format": "text", "path": f"{path}/part=*", "maxFilesPerTrigger": "1000"}
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.sources.readers import clean_cities
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # The city list, coordinates with a decimal comma.
@@ -200,9 +198,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view over the tables of ``sf_dir`` as a DataFrame."""
-    if name == "v_cities":
-        raw = spark.createDataFrame(_CITY_ROWS, "id STRING, city STRING, lat STRING, lng STRING")
-        return clean_cities(raw)
     text = VIEWS[name]
     inputs = {
         part: view(spark, sf_dir, part) if part in VIEWS else table(spark, sf_dir, part)
@@ -211,7 +206,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     }
     # Timestamps without zone in both engines, whatever the session's setting.
     text = text.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
-    return spark.sql(text, **inputs)
+    return spark.sql(text, **inputs) if inputs else spark.sql(text)
 
 
 def _needs(text: str) -> list[str]:

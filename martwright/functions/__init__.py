@@ -1,6 +1,6 @@
 """Column functions: plain compositions of built-in Spark expressions, no UDFs."""
 
-from martwright.functions.geo import chord_squared, haversine, unit_vector
+from martwright.functions.geo import haversine, unit_vector
 from martwright.functions.keys import hash_key, uuid5
 from martwright.functions.scalars import (
     decimal_comma,
@@ -14,7 +14,6 @@ from martwright.functions.scalars import (
 )
 
 __all__ = [
-    "chord_squared",
     "decimal_comma",
     "hash_key",
     "haversine",

@@ -25,17 +25,11 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 
 
 def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
-    """Position on the unit sphere as three coordinates."""
-    phi, lam = F.radians(lat), F.radians(lon)
-    return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
-
+    """Position on the unit sphere as three coordinates.
 
-def chord_squared(a: tuple, b: tuple) -> Column:
-    """Squared straight-line distance of two unit vectors.
-
-    It grows with the great-circle distance, so it ranks candidates exactly as
-    the haversine does while costing three products per candidate and no
-    trigonometry.
+    The straight-line distance of two such points grows with their great-circle
+    distance, so it ranks candidates as the haversine does, at the cost of
+    three products per candidate.
     """
-    squares = [(p - q) * (p - q) for p, q in zip(a, b)]
-    return squares[0] + squares[1] + squares[2]
+    phi, lam = F.radians(lat), F.radians(lon)
+    return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)

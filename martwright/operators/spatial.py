@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions.geo import EARTH_RADIUS_KM, chord_squared, haversine, unit_vector
+from martwright.functions.geo import EARTH_RADIUS_KM, haversine, unit_vector
 from martwright.operators.skew import HOT_ROWS, hot_key_join
 from martwright.operators.workspace import cut_lineage
 
@@ -17,6 +17,8 @@ KM_PER_DEGREE = math.pi * EARTH_RADIUS_KM / 180
 # Places up to this number become literals of the plan; more go through the grid.
 MAX_LITERAL_PLACES = 256
 
+_AXES = ("_x", "_y", "_z")
+
 # Search radii of the grid in km; the last one spans half the globe, so no point is left over.
 SEARCH_RADII_KM = (25.0, 200.0, 1600.0, 20100.0)
 
@@ -133,25 +135,46 @@ def nearest(
     return _nearest_grid(located, chosen, list(place_cols), lat, lon)
 
 
+def _literal(value, kind: str) -> str:
+    """SQL literal of a value of a simple type."""
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind})"
+
+
 def _nearest_literal(located, known, chosen, place_cols, lat, lon) -> DataFrame:
-    position = unit_vector(F.col(lat), F.col(lon))
-    types = {f.name: f.dataType for f in chosen.schema.fields}
-    candidates = []
-    for place in known:
-        phi, lam = math.radians(place["city_lat"]), math.radians(place["city_lng"])
-        spot = (math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi))
-        apart = chord_squared(
-            (F.col("_x"), F.col("_y"), F.col("_z")), tuple(F.lit(v) for v in spot)
-        )
-        labels = [F.lit(place[c]).cast(types[c]).alias(c) for c in place_cols]
-        candidates.append(F.struct(apart.alias("_apart"), *labels))
+    """Position of the smallest squared chord among all places, then its labels.
+
+    The chords are an array of plain doubles, which generated code fills
+    without allocating objects per candidate. They are given as SQL text:
+    building a few hundred nodes one call at a time would take longer than a
+    small query. Places are ordered by their first label, which breaks ties.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in chosen.schema.fields}
+    ordered = sorted(known, key=lambda place: (place[place_cols[0]] is None, place[place_cols[0]]))
+    chords = []
+    for place in ordered:
+        spot = _unit_vector(place["city_lat"], place["city_lng"])
+        terms = [f"({axis} - ({v!r}D)) * ({axis} - ({v!r}D))" for axis, v in zip(_AXES, spot)]
+        chords.append(" + ".join(terms))
+    labels = {
+        c: F.expr(f"ELEMENT_AT(ARRAY({', '.join(_literal(p[c], kinds[c]) for p in ordered)}), _at)")
+        for c in place_cols
+    }
     return (
-        located.withColumns(dict(zip(("_x", "_y", "_z"), position)))
-        .withColumn("_best", F.array_min(F.array(*candidates)))
-        .select(*located.columns, *[F.col(f"_best.{c}").alias(c) for c in place_cols])
+        located.withColumns(dict(zip(_AXES, unit_vector(F.col(lat), F.col(lon)))))
+        .withColumn("_chords", F.expr(f"ARRAY({', '.join(chords)})"))
+        .withColumn("_at", F.expr("CAST(ARRAY_POSITION(_chords, ARRAY_MIN(_chords)) AS INT)"))
+        .select(*located.columns, *[label.alias(c) for c, label in labels.items()])
     )
 
 
+def _unit_vector(lat: float, lon: float) -> tuple[float, float, float]:
+    phi, lam = math.radians(lat), math.radians(lon)
+    return math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
+
+
 def _nearest_grid(located, places, place_cols, lat, lon) -> DataFrame:
     """Search each distinct coordinate in cells of growing size until a place is in reach."""
     spots = located.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()

@@ -9,11 +9,18 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright import schemas
 from martwright.operators.tables import Table
 
 
+def _one_row(spark: SparkSession, schema: T.StructType, values: tuple) -> DataFrame:
+    """A row of literals, made without a Python worker."""
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, values)]
+    return spark.range(1).select(*columns)
+
+
 class WorkflowState:
     """Settings per workflow key, stored as JSON text like a document."""
 
@@ -27,8 +34,8 @@ class WorkflowState:
         return json.loads(row[0]) if row else {}
 
     def put(self, key: str, settings: dict[str, Any]) -> None:
-        row = self.spark.createDataFrame(
-            [(key, json.dumps(settings, sort_keys=True))], self.table.schema
+        row = _one_row(
+            self.spark, self.table.schema, (key, json.dumps(settings, sort_keys=True))
         )
         self.table.upsert(row, ["workflow_key"])
         self.table.vacuum()
@@ -73,7 +80,7 @@ def audited(
 
     def note(rows_loaded: int | None, status: str, message: str | None) -> None:
         row = (schema_name, table_name, load_date, clock(), rows_loaded, status, message)
-        log.append(spark.createDataFrame([row], log.schema))
+        log.append(_one_row(spark, log.schema, row))
 
     try:
         loaded = action()
