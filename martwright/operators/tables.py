@@ -90,7 +90,8 @@ class Table:
         if id_col is None:
             return rows
         start = next_id(self.read(), id_col) if self.exists else 0
-        return with_surrogate(rows, id_col, keys, start)
+        # Numbering reads the rows twice, for the bucket sizes and for the ranks.
+        return with_surrogate(cut_lineage(rows), id_col, keys, start)
 
     def _gathered(self, rows: DataFrame) -> DataFrame:
         """Rows of one partition value brought together before the write.
