@@ -130,15 +130,15 @@ def mix(
         .withColumn("block", F.expr(f"_at DIV {block_bytes}"))
         .withColumn("place", F.col("_at") % block_bytes)
     )
-    share = plan.select("_source", "e").distinct()
-    turns = plan.select("_source", "k", "h", "turn", F.col("release").alias("_r"), F.col("deadline").alias("_d"))
+    share = plan.select("_source", F.col("e").alias("_e"), F.col("h").alias("_h")).distinct()
+    turns = plan.select("_source", *[F.col(c).alias(f"_{c}") for c in ("k", "turn", "release", "deadline")])
     return (
         placed.join(share, "_source")
-        .withColumn("k", F.expr("cast(block % e AS int)"))
-        .join(turns, ["_source", "k"])
-        .withColumn("_base", F.expr("(block DIV e) * h"))
-        .withColumn("release", F.col("_base") + F.col("_r"))
-        .withColumn("deadline", F.col("_base") + F.col("_d"))
-        .withColumn("slot", F.col("_base") + F.col("turn"))
-        .drop("_source", "_size", "_order", "_part", "_run", "_start", "_at", "e", "k", "h", "turn", "_r", "_d", "_base")
+        .withColumn("_k", F.expr("cast(block % _e AS int)"))
+        .join(turns, ["_source", "_k"])
+        .withColumn("_base", F.expr("(block DIV _e) * _h"))
+        .withColumn("release", F.col("_base") + F.col("_release"))
+        .withColumn("deadline", F.col("_base") + F.col("_deadline"))
+        .withColumn("slot", F.col("_base") + F.col("_turn"))
+        .drop(*(f"_{c}" for c in "source size order part run start at e h k turn release deadline base".split()))
     )
