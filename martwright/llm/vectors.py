@@ -185,7 +185,7 @@ def search(
         good.where(F.col("id") % every == 0)
         .select("id", "v")
         .mapInArrow(probe, "id long, v array<double>, leaf long")
-        .join(cells, "leaf")
+        .join(cells.select(F.col("leaf").alias("leaf"), F.col("cells").alias("cells")), "leaf")
         .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     )
 
