@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import mixing, packing, quality, secret_scan, sharding, shipping, simhash, tokens, vectors, wrappers
+from martwright.llm import mixing, packing, quality, secret_scan, sharding, shipping, simhash, suffixes, tokens, vectors, wrappers
 from martwright.operators.workspace import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return wrappers.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op3_cut_repeats")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_repeats(table(spark, sf_dir, "documents"))
