@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.workspace import cut_lineage
+
 WHITE = " \t\n\x0b\f\r"
 SPLIT = "[ \\t\\n\\x0B\\f\\r]+"
 SYMBOLS = "#*$%&|<>"
@@ -171,3 +173,13 @@ def verdicts(
         .withColumn("kept", kept)
         .drop("_lang", "_source", *bounds)
     )
+
+
+def judge(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the counts and ``kept``.
+
+    The counts are written to the shared folder before they are used: both passes need them, and an
+    optimizer that merges the second pass into the first would evaluate them once for every use.
+    """
+    featured = cut_lineage(features(docs, text))
+    return verdicts(featured, fences(sketches(featured)))

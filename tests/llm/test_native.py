@@ -37,7 +37,7 @@ def test_extra_columns_survive(odd_docs):
         mixing.mix(odd_docs),
         sharding.shards(odd_docs, 5000),
         secret_scan.scan(odd_docs, train_rows=200, train_docs=20),
-        quality.verdicts(quality.features(odd_docs), quality.fences(quality.sketches(quality.features(odd_docs)))),
+        quality.judge(odd_docs),
     ):
         assert sorted(str((r.doc_id, r.k, r.total)) for r in out.select("doc_id", "k", "total").collect()) == want
 
@@ -113,14 +113,12 @@ def test_quality_counts(odd_docs, no_docs):
         assert (r.n_words, r.n_repeat_words) == (len(words), len(covered))
         assert r.n_dup_lines == len(lines) - len(set(lines))
         assert r.n_symbols == len(re.findall(r"[#*$%&|<>]", text)) and r.word_chars == sum(map(len, words))
-    nothing = quality.features(no_docs)
-    assert quality.verdicts(nothing, quality.fences(quality.sketches(nothing))).count() == 0
+    assert quality.judge(no_docs).count() == 0
 
 
 def test_quality_verdicts_follow_the_labels(spark):
     sf = "/root/testdata/sf0.01"
-    featured = quality.features(spark.read.parquet(f"{sf}/documents.parquet"))
-    judged = quality.verdicts(featured, quality.fences(quality.sketches(featured)))
+    judged = quality.judge(spark.read.parquet(f"{sf}/documents.parquet"))
     rows = judged.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("quality", "kept", "n_words", "base_failed").collect()
     clean = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
     junk = [r.kept for r in rows if r.quality == 0]
