@@ -123,14 +123,14 @@ def nearest(
     """Add the nearest place to every point that has coordinates.
 
     ``places`` has ``city_lat``, ``city_lng`` and ``place_cols``, the first of
-    which breaks ties. Up to ``max_literals`` places the comparison is an
+    which breaks ties; places without coordinates take no part. Up to ``max_literals`` places the comparison is an
     expression over literals: no join and no shuffle. Beyond it the places are
     searched through grid joins of growing radius.
     """
     located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    chosen = places.select("city_lat", "city_lng", *place_cols)
+    chosen = places.select("city_lat", "city_lng", *place_cols).dropna(subset=["city_lat", "city_lng"])
     known = chosen.limit(max_literals + 1).collect()
-    if len(known) <= max_literals:
+    if known and len(known) <= max_literals:
         return _nearest_literal(located, known, chosen, list(place_cols), lat, lon)
     return _nearest_grid(located, chosen, list(place_cols), lat, lon)
 

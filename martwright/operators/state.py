@@ -60,10 +60,10 @@ def days_before(now: dt.datetime, days: int = 7) -> str:
 
 
 def greatest_mark(rows: DataFrame, *columns: str) -> str | None:
-    """Greatest timestamp over the given columns, as text cut to seconds; NULLs are skipped."""
+    """Greatest timestamp over the given columns, as text; NULLs are skipped."""
     marks = [F.max(F.col(c).cast("timestamp_ntz")) for c in columns]
     top = F.greatest(*marks) if len(marks) > 1 else marks[0]
-    return rows.agg(F.substring(top.cast("string"), 1, 19)).first()[0]
+    return rows.agg(top.cast("string")).first()[0]
 
 
 def audited(
@@ -85,7 +85,7 @@ def audited(
     try:
         loaded = action()
     except Exception as error:
-        note(0, "ERROR", str(error)[:1000])
+        note(0, "ERROR", str(error))
         raise
     note(loaded, "SUCCESS", None)
     return loaded

@@ -23,9 +23,13 @@ from martwright.operators.pick import earliest_by, latest_by
 from martwright.operators.surrogate import next_id, with_surrogate
 from martwright.operators.workspace import cut_lineage
 
-# More touched partitions than this are not listed on the driver; the whole
-# table is rewritten instead.
-MAX_LISTED_PARTITIONS = 1000
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join in which NULL keys are equal to each other."""
+    named = right.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    on = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return left.join(named, on, how)
 
 
 class Table:
@@ -154,9 +158,10 @@ class Table:
 
         Several incoming rows of one key are reduced to the smallest by
         ``order`` (all columns when not given). With ``id_col`` the inserted
-        rows get the next surrogate ids.
+        rows get the next surrogate ids. As with NOT IN, a row whose key has a
+        NULL is not inserted: no later load could tell that it is there.
         """
-        rows = self._conform(rows, id_col)
+        rows = self._conform(rows, id_col).dropna(subset=list(keys))
         firsts = earliest_by(rows, keys, order or [c for c in rows.columns if c not in keys])
         if not self.exists:
             self.refresh(self._numbered(firsts, keys, id_col))
@@ -181,7 +186,8 @@ class Table:
         Several incoming rows of one key are reduced to the greatest by
         ``order``, unless the caller knows them to be ``unique``. With
         ``id_col`` updated rows keep their surrogate id and inserted rows get
-        the next ones. As in SQL, a NULL key matches nothing.
+        the next ones. NULL keys are equal to each other, so that a load which
+        is repeated changes nothing; a load without rows writes nothing.
         """
         source = self._conform(rows, id_col)
         if not unique:
@@ -192,16 +198,18 @@ class Table:
             self.refresh(self._numbered(source, keys, id_col))
             return
         source = cut_lineage(source)
+        if source.isEmpty():
+            return
         target = self.read()
-        touched = self._touched(source, keys)
-        if touched is not None:
-            target = target.where(touched)
+        confined = bool(self.partition_by) and set(self.partition_by) <= set(keys)
+        if confined:
+            target = self._touched(target, source)
         setters = update or {
             c: F.col(f"s.{c}") for c in source.columns if c not in keys
         }
         hit = F.col("s._hit").isNotNull()
         on = functools.reduce(
-            lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+            lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
         )
         kept = (
             target.alias("t")
@@ -215,40 +223,29 @@ class Table:
                 ]
             )
         )
-        known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
-        fresh = source.join(known, list(keys), "left_anti")
+        known = null_safe_join(target.select(*keys), source.select(*keys), keys, "left_semi")
+        fresh = null_safe_join(source, known, keys, "left_anti")
         added = self._numbered(fresh, keys, id_col).select(*self.schema.names)
         # Kept rows come from files of one partition each; only additions need gathering.
         merged = kept.unionByName(self._gathered(added))
-        if touched is not None:
+        if confined:
             self._replace_slices(merged)
         else:
             self.replace(merged)
 
-    def _touched(self, source: DataFrame, keys: Sequence[str]) -> Column | None:
-        """Predicate for the partitions an upsert touches, if it can be confined to them."""
-        if not self.partition_by or not set(self.partition_by) <= set(keys):
-            return None
-        listed = (
-            source.select(*self.partition_by)
-            .distinct()
-            .limit(MAX_LISTED_PARTITIONS + 1)
-            .collect()
-        )
-        if not listed or len(listed) > MAX_LISTED_PARTITIONS:
-            return None
-        if any(value is None for row in listed for value in row):
-            return None
-        if len(self.partition_by) == 1:
-            return F.col(self.partition_by[0]).isin([row[0] for row in listed])
-        tests = [
-            functools.reduce(
-                lambda a, b: a & b,
-                [F.col(c) == F.lit(row[c]) for c in self.partition_by],
-            )
-            for row in listed
-        ]
-        return functools.reduce(lambda a, b: a | b, tests)
+    def _touched(self, target: DataFrame, source: DataFrame) -> DataFrame:
+        """The rows of ``target`` in the partitions that ``source`` has rows for."""
+        parts = source.select(*self.partition_by).distinct()
+        return null_safe_join(target, parts, self.partition_by, "left_semi")
+
+    def clear_slice(self, **values) -> None:
+        """Remove one partition: a slice that has been extracted again and is now empty."""
+        done = self.versions()
+        if not done:
+            return
+        folders = "/".join(f"{c}={values[c]}" for c in self.partition_by)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location(done[-1])}/{folders}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` versions."""

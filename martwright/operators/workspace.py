@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martwright-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()

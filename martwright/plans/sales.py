@@ -39,12 +39,21 @@ def sales_rows(staged: DataFrame, d_calendar: DataFrame) -> DataFrame:
     )
     day = d_calendar.select("date_id", F.col("date_actual").alias("_day"))
     dated = staged.withColumn("_day", F.col("date_time").cast("date")).join(day, "_day", "left")
+    # A day that the calendar lacks keeps a slice of its own: ids are the day's digits.
+    own = F.date_format("_day", "yyyyMMdd").cast("int")
+    dated = dated.withColumn("date_id", F.coalesce("date_id", own))
     return schemas.conform(dated.withColumn("payment_amount", amount), "f_sales")
 
 
 def load_sales(staged: DataFrame, d_calendar: DataFrame, f_sales: Table, day: str | None = None):
-    """Overwrite the staged days (or just ``day``) of the fact; re-running changes nothing."""
+    """Overwrite the staged days (or just ``day``) of the fact; re-running changes nothing.
+
+    A ``day`` that has no rows any more is emptied.
+    """
     rows = staged if day is None else staged.where(F.col("date_time").cast("date") == day)
+    if day is not None and rows.isEmpty():
+        f_sales.clear_slice(date_id=int(str(day).replace("-", "")))
+        return
     f_sales.overwrite_slices(sales_rows(rows, d_calendar))
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.functions import decimal_comma
 from martwright.operators.pick import dedupe
+from martwright.operators.workspace import cut_lineage
 
 CORRUPT = "_corrupt"
 
@@ -51,13 +51,15 @@ def read_delimited(
     quote: str = '"',
     null_value: str = "",
     reject_max: int | None = None,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` rows of delimited files.
 
     Rows that do not fit the schema are rejected with their text. With
     ``reject_max`` the load fails when more rows than that are rejected. The
-    parsed rows are persisted on disk, so counting the rejects does not parse
-    the files again.
+    parsed rows are written once to the shared folder, so counting the rejects
+    does not parse the files again. A quote inside quoted text is doubled;
+    ``multi_line`` is for quoted texts that hold line breaks.
     """
     wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = (
@@ -67,18 +69,19 @@ def read_delimited(
         .option("header", header)
         .option("sep", sep)
         .option("quote", quote)
+        .option("escape", quote)
+        .option("multiLine", multi_line)
         .option("nullValue", null_value)
         # Headers of increments vary in order and case; columns go by position.
         .option("enforceSchema", True)
         .csv(path)
-        .persist(StorageLevel.DISK_ONLY)
     )
+    parsed = cut_lineage(parsed)
     good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     rejected = parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("rejected"))
     if reject_max is not None:
         bad = rejected.count()
         if bad > reject_max:
-            parsed.unpersist()
             raise RejectLimitError(f"{bad} rejected rows in {path}, {reject_max} allowed")
     return good, rejected
 

@@ -20,8 +20,6 @@ from martwright.operators.tables import Table
 BATCH = "batch"
 MERGED = "merged"
 
-# Batches with up to this many keys are looked up by value.
-MAX_LISTED_KEYS = 200
 
 
 def batch_name(stream: str, epoch_id: int) -> str:
@@ -54,21 +52,9 @@ def insert_new(
 def _matching(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored keys that occur in the batch.
 
-    The few keys of a small batch go to the scan as a filter, where they skip
-    all row groups that cannot hold them (see :func:`compact`). The keys of a
-    larger batch meet the stored ones in a semi-join; give this function rows
-    from written files, so that Spark knows their size and broadcasts them
-    where it can instead of shuffling the table.
+    Give this function rows from written files, so that Spark knows their size
+    and broadcasts them where it can instead of shuffling the table.
     """
-    if len(keys) == 1:
-        listed = incoming.select(keys[0]).limit(MAX_LISTED_KEYS + 1).collect()
-        if 0 < len(listed) <= MAX_LISTED_KEYS:
-            tests = [F.col(keys[0]) == row[0] for row in listed]
-            # A balanced tree of ORs: Parquet evaluates it against row-group bounds.
-            while len(tests) > 1:
-                pairs = [tests[i : i + 2] for i in range(0, len(tests), 2)]
-                tests = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
-            return stored.where(tests[0])
     return stored.join(incoming.select(*keys), list(keys), "left_semi")
 
 

@@ -117,7 +117,7 @@ def test_greatest_mark_skips_nulls(spark):
     frame = spark.createDataFrame(
         [(dt.datetime(2024, 1, 1, 0, 0, 0, 900000), None)], "a TIMESTAMP_NTZ, b TIMESTAMP_NTZ"
     )
-    assert greatest_mark(frame, "a", "b") == "2024-01-01 00:00:00"
+    assert greatest_mark(frame, "a", "b") == "2024-01-01 00:00:00.9"
     assert greatest_mark(frame.limit(0), "a", "b") is None
 
 
@@ -153,3 +153,41 @@ def test_create_table(spark):
 def test_scratch_is_below_the_configured_folder(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_repeated_null_keys_do_not_double(spark, table, rows):
+    frame = _frame(spark, (None, "a", 1), (2, "b", 1))
+    for _ in range(3):
+        table.upsert(frame, ["k"])
+    assert rows(table.read()) == [(2, "b", 1), (None, "a", 1)]
+
+
+def test_null_keys_are_not_inserted(spark, table, rows):
+    for _ in range(3):
+        table.insert_if_new(_frame(spark, (None, "a", 1), (2, "b", 1)), ["k"])
+    assert rows(table.read()) == [(2, "b", 1)]
+
+
+def test_an_empty_delta_writes_nothing(spark, table):
+    table.upsert(_frame(spark, (1, "a", 1)), ["k"])
+    before = table.versions()
+    table.upsert(_frame(spark, (1, "a", 1)).limit(0), ["k"])
+    assert table.versions() == before
+
+
+def test_days_outside_the_calendar_and_emptied_days(spark, tmp_path):
+    from martwright.plans import sales
+
+    columns = [f.name for f in schemas.SCHEMAS["f_sales"].fields]
+    fact = Table(spark, str(tmp_path / "f"), schemas.SCHEMAS["f_sales"], partition_by=["date_id"])
+    calendar = spark.createDataFrame([(20240101, dt.date(2024, 1, 1))], "date_id INT, date_actual DATE")
+    staged = spark.createDataFrame(
+        [(dt.datetime(2025, 1, d), 1, 1, 1, 1, 5.0, "shipped") for d in (1, 2)],
+        "date_time TIMESTAMP_NTZ, item_id INT, customer_id INT, city_id INT, quantity INT, payment_amount DOUBLE, status STRING",
+    )
+    assert "date_id" in columns
+    sales.load_sales(staged, calendar, fact, "2025-01-01")
+    sales.load_sales(staged, calendar, fact, "2025-01-02")
+    assert fact.read().count() == 2
+    sales.load_sales(staged.limit(0), calendar, fact, "2025-01-02")
+    assert [r.date_id for r in fact.read().collect()] == [20250101]
