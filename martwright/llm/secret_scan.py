@@ -17,7 +17,7 @@ Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.workspace import cut_lineage
@@ -39,6 +39,8 @@ HINTS = {
     "random": "[A-Za-z0-9+/_=-]{20}",
 }
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Weight, in characters, of the single characters' frequencies in the pairs' probabilities.
+BACKOFF = 20
 CANDIDATE = "([A-Za-z0-9+/_=-]+)"
 NO_SPANS = "cast(array() AS array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>)"
 
@@ -142,9 +144,21 @@ def train(strings: DataFrame) -> DataFrame:
         (F.col("id") / n).cast("int").alias("a"), (F.col("id") % n).cast("int").alias("b"), "id"
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    ratio = F.log((zero("r") + 1) / (zero("tr") + n)) - F.log((zero("o") + 1) / (zero("to") + n))
+    # What a model has seen little of falls back on how often the second character occurs at all.
+    seen = pairs.groupBy("b").agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
+    whole = Window.partitionBy(F.lit(0))
+    often = lambda c: (zero(c) + 1) / (F.sum(zero(c)).over(whole) + n)
+    seconds = (
+        strings.sparkSession.range(n)
+        .select(F.col("id").cast("int").alias("b"))
+        .join(seen, "b", "left")
+        .select("b", often("r").alias("ur"), often("o").alias("uo"))
+    )
+    chance = lambda c: (zero(c) + BACKOFF * F.col(f"u{c}")) / (zero(f"t{c}") + BACKOFF)
+    ratio = F.log(chance("r")) - F.log(chance("o"))
     return (
         every.join(firsts, "a", "left")
+        .join(seconds, "b")
         .join(pairs, ["a", "b"], "left")
         .groupBy()
         .agg(F.sort_array(F.collect_list(F.struct("id", F.round(1000 * ratio).cast("bigint").alias("v")))).alias("m"))
