@@ -6,9 +6,10 @@ models of characters, one of random strings and one of ordinary identifiers; a r
 the log-likelihood ratio exceeds ``log_odds`` (how much rarer secrets are than identifiers).
 
 The models are trained from labelled strings: random ones are the values that the patterns found and
-digests written in hexadecimal, base 64 and base 36; ordinary ones are words of documents. Each
-class is bounded by ``train_rows`` strings (taken in the order of their hash). Everything is
-expressed by built-in functions; positions follow from the lengths of the pieces before a match.
+digests written in hexadecimal, base 64 and base 36; ordinary ones are words of documents that are no
+runs to be scored: a run's label is unknown, and random ones would be learnt as ordinary. Each class
+is bounded by ``train_rows`` strings (taken in the order of their hash). Everything is expressed by
+built-in functions; positions follow from the lengths of the pieces before a match.
 
 Defined results: null texts are empty; a text without matches has empty span lists; repeated rows
 get equal results; an empty table gives no rows; without training words nothing is added.
@@ -31,12 +32,14 @@ KINDS: dict[str, tuple[str, str]] = {
     "access": (r"(AKIA[A-Z0-9]+)", "length(value) >= 16"),
     "hex": (r"([0-9a-f]+)", "length(value) >= 32"),
 }
+#: Fewest characters of a run that is scored.
+SCORED = 20
 #: Cheap tests that hold whenever a kind has a match that counts.
 HINTS = {
     "assign": r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8}",
     "access": "AKIA[A-Z0-9]{12}",
     "hex": "[0-9a-f]{32}",
-    "random": "[A-Za-z0-9+/_=-]{20}",
+    "random": f"[A-Za-z0-9+/_=-]{{{SCORED}}}",
 }
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Weight, in characters, of the single characters' frequencies in the pairs' probabilities.
@@ -82,6 +85,11 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.withColumn("_base", F.array_sort(F.concat(*parts)))
 
 
+def _mixed(run: Column) -> Column:
+    """Whether a run holds a letter and a digit."""
+    return run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+
+
 def training_strings(docs: DataFrame, based: DataFrame, train_rows: int, train_docs: int) -> DataFrame:
     """Rows (random, string): bounded, labelled samples, chosen by hash."""
     spark = docs.sparkSession
@@ -103,13 +111,13 @@ def training_strings(docs: DataFrame, based: DataFrame, train_rows: int, train_d
     sample = (
         docs.where(F.col("_text") != "")
         .select("_text")
-        .orderBy(F.md5(F.substring("_text", 1, 200).cast("binary")))
+        .orderBy(F.xxhash64("_text"), F.md5(F.col("_text").cast("binary")))
         .limit(train_docs)
     )
     clean = F.regexp_replace("_text", KINDS["assign"][0] + "|AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", " ")
     words = first(
         sample.select(F.explode(F.regexp_extract_all(clean, F.lit(CANDIDATE), F.lit(0))).alias("string")).where(
-            F.length("string") >= 6
+            (F.length("string") >= 6) & ~((F.length("string") >= SCORED) & _mixed(F.col("string")))
         ),
         train_rows,
     )
@@ -185,11 +193,10 @@ def scan(
         f"(instr('{ALPHABET}', substr(x.value, i, 1)) - 1) * {len(ALPHABET)}"
         f" + instr('{ALPHABET}', substr(x.value, i + 1, 1)) - 1])"
     )
-    runs = based.withColumn("_runs", _spans("_text", "random", len(KINDS), CANDIDATE, "length(value) >= 20"))
+    runs = based.withColumn("_runs", _spans("_text", "random", len(KINDS), CANDIDATE, f"length(value) >= {SCORED}"))
     mixed = F.filter(
         "_runs",
-        lambda x: x["value"].rlike("[0-9]")
-        & x["value"].rlike("[A-Za-z]")
+        lambda x: _mixed(x["value"])
         & ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
     )
     scored = (
