@@ -7,8 +7,9 @@ the log-likelihood ratio exceeds ``log_odds`` (how much rarer secrets are than i
 
 The models are trained from labelled strings: random ones are the values that the patterns found and
 digests written in hexadecimal, base 64 and base 36; ordinary ones are words of documents that are no
-runs to be scored: a run's label is unknown, and random ones would be learnt as ordinary. Each class
-is bounded by ``train_rows`` strings (taken in the order of their hash). Everything is expressed by
+runs to be scored: a run's label is unknown, and random ones would be learnt as ordinary. Both
+come from ``train_docs`` texts, and each class is bounded by ``train_rows`` strings (taken in the order
+of their hash). Everything is expressed by
 built-in functions; positions follow from the lengths of the pieces before a match.
 
 Defined results: null texts are empty; a text without matches has empty span lists; repeated rows
@@ -23,14 +24,16 @@ from pyspark.sql import functions as F
 
 from martwright.operators.workspace import cut_lineage
 
-#: kind -> (pattern, SQL condition on ``match`` and ``value``); the value is the pattern's last group.
-KINDS: dict[str, tuple[str, str]] = {
+#: kind -> (pattern, least length of its value); the value is the pattern's only group. A short assignment
+#: is dropped after it has been matched, since it may cover the name of another. The other kinds are whole
+#: runs, which no shorter match can cut: their length is part of the pattern.
+KINDS: dict[str, tuple[str, int]] = {
     "assign": (
         r"""(?:(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""",
-        "length(value) >= 8",
+        8,
     ),
-    "access": (r"(AKIA[A-Z0-9]+)", "length(value) >= 16"),
-    "hex": (r"([0-9a-f]+)", "length(value) >= 32"),
+    "access": (r"(AKIA[A-Z0-9]{12,})", 16),
+    "hex": (r"([0-9a-f]{32,})", 32),
 }
 #: Fewest characters of a run that is scored.
 SCORED = 20
@@ -44,16 +47,12 @@ HINTS = {
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Weight, in characters, of the single characters' frequencies in the pairs' probabilities.
 BACKOFF = 20
-CANDIDATE = "([A-Za-z0-9+/_=-]+)"
+WORD = "[A-Za-z0-9+/_=-]"
 NO_SPANS = "cast(array() AS array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>)"
 
 
-def _quoted(pattern: str) -> str:
-    return "r'" + pattern.replace("'", "\\x27") + "'" if "'" not in pattern else 'r"' + pattern.replace('"', "\\x22") + '"'
-
-
-def _spans(text: str, kind: str, rank: int, pattern: str, keep: str) -> Column:
-    """Spans of all leftmost matches that satisfy ``keep``; ``\\G`` ties each gap to the match before."""
+def _spans(text: str, kind: str, rank: int, pattern: str, least: int) -> Column:
+    """Spans of all leftmost matches, of values of ``least`` characters; ``\\G`` ties each gap to the match before."""
     gapped = F.lit(rf"(?s)\G(.*?){pattern}")
     whole, gap, value = (F.regexp_extract_all(F.col(text), gapped, F.lit(i)) for i in (0, 1, 2))
     pieces = F.arrays_zip(whole.alias("w"), gap.alias("g"), value.alias("v"))
@@ -71,7 +70,7 @@ def _spans(text: str, kind: str, rank: int, pattern: str, keep: str) -> Column:
         return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
 
     found = F.aggregate(pieces, empty, step, lambda acc: acc["out"])
-    counted = F.filter(found, lambda s: F.length(s["value"]) >= int(keep.rpartition(" ")[2]))
+    counted = F.filter(found, lambda s: F.length(s["value"]) >= least)
     return F.when(F.col(text).rlike(HINTS[kind]), counted).otherwise(F.expr(NO_SPANS))
 
 
@@ -79,8 +78,8 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_text`` (never null) and ``_base``: the patterns' spans by start, then kind."""
     found = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     parts = [
-        _spans("_text", kind, rank, pattern, keep)
-        for rank, (kind, (pattern, keep)) in enumerate(KINDS.items())
+        _spans("_text", kind, rank, pattern, least)
+        for rank, (kind, (pattern, least)) in enumerate(KINDS.items())
     ]
     return found.withColumn("_base", F.array_sort(F.concat(*parts)))
 
@@ -90,13 +89,19 @@ def _mixed(run: Column) -> Column:
     return run.rlike("[0-9]") & run.rlike("[A-Za-z]")
 
 
-def training_strings(docs: DataFrame, based: DataFrame, train_rows: int, train_docs: int) -> DataFrame:
+def sampled(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """The ``rows`` different texts, not empty, that are first by their hash; only hashes meet in one task."""
+    hashed = docs.where(F.length(text) > 0).select(F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
+    last = hashed.select("_hash").distinct().orderBy("_hash").limit(rows).agg(F.max("_hash"))
+    return hashed.where(F.col("_hash") <= last.scalar()).groupBy("_hash").agg(F.first("_text").alias("_text"))
+
+
+def training_strings(docs: DataFrame, text: str, train_rows: int, train_docs: int) -> DataFrame:
     """Rows (random, string): bounded, labelled samples, chosen by hash."""
     spark = docs.sparkSession
     first = lambda df, n: df.distinct().orderBy(F.md5(F.col("string").cast("binary"))).limit(n)
-    known = first(
-        based.where(F.size("_base") > 0).select(F.explode("_base.value").alias("string")), train_rows
-    )
+    sample = cut_lineage(sampled(docs, text, train_docs))
+    known = first(base_spans(sample, "_text").select(F.explode("_base.value").alias("string")), train_rows)
     digest = F.sha2(F.col("id").cast("string").cast("binary"), 256)
     made = spark.range(train_rows // 4).select(
         F.explode(
@@ -108,16 +113,10 @@ def training_strings(docs: DataFrame, based: DataFrame, train_rows: int, train_d
             )
         ).alias("string")
     )
-    sample = (
-        docs.where(F.col("_text") != "")
-        .select("_text")
-        .orderBy(F.xxhash64("_text"), F.md5(F.col("_text").cast("binary")))
-        .limit(train_docs)
-    )
     clean = F.regexp_replace("_text", KINDS["assign"][0] + "|AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", " ")
     words = first(
-        sample.select(F.explode(F.regexp_extract_all(clean, F.lit(CANDIDATE), F.lit(0))).alias("string")).where(
-            (F.length("string") >= 6) & ~((F.length("string") >= SCORED) & _mixed(F.col("string")))
+        sample.select(F.explode(F.regexp_extract_all(clean, F.lit(f"{WORD}{{6,}}"), F.lit(0))).alias("string")).where(
+            ~((F.length("string") >= SCORED) & _mixed(F.col("string")))
         ),
         train_rows,
     )
@@ -187,13 +186,14 @@ def scan(
     overlaps a base span is not added again.
     """
     based = base_spans(docs, text)
-    model = cut_lineage(train(training_strings(based, based, train_rows, train_docs)))
+    model = cut_lineage(train(training_strings(docs, text, train_rows, train_docs)))
+    # One pass over a run's characters, with the place of the one before in the alphabet.
+    place = f"cast(instr('{ALPHABET}', c) - 1 AS int)"
     score = (
-        "aggregate(sequence(1, length(x.value) - 1), 0L, (a, i) -> a + _model["
-        f"(instr('{ALPHABET}', substr(x.value, i, 1)) - 1) * {len(ALPHABET)}"
-        f" + instr('{ALPHABET}', substr(x.value, i + 1, 1)) - 1])"
+        "aggregate(regexp_extract_all(x.value, '.', 0), struct(-1 AS p, 0L AS s), (a, c) -> struct("
+        f"{place} AS p, a.s + if(a.p < 0, 0L, _model[a.p * {len(ALPHABET)} + {place}]) AS s), a -> a.s)"
     )
-    runs = based.withColumn("_runs", _spans("_text", "random", len(KINDS), CANDIDATE, f"length(value) >= {SCORED}"))
+    runs = based.withColumn("_runs", _spans("_text", "random", len(KINDS), f"({WORD}{{{SCORED},}})", SCORED))
     mixed = F.filter(
         "_runs",
         lambda x: _mixed(x["value"])
