@@ -7,13 +7,15 @@ zero there. A query walks the tree with a priority queue of branches by the dist
 centres and names its leaves in that order. How many leaves are read is calibrated: on held-out
 sample rows the number is widened until the mean share of true neighbours found reaches ``recall``.
 
-Leaves are dealt in cells of at most about ``cell`` vectors, so that a leaf of equal vectors does
-not land in one task; each cell answers the queries that read it with its best ``k``, ties to the
-smaller id, and the best of all cells are kept. Scores are exact, in double precision.
+Leaves lie in tree order on shelves of about ``cell`` vectors: small leaves share one, and a leaf of
+many (also of equal) vectors spreads over several, so that none lands in one task. A query is sent
+once to each shelf with a leaf it reads, together with the numbers of those leaves; queries come in
+chunks of about ``together``. A shelf answers with the best ``k`` in those leaves, ties to the
+smaller id, and the best of all shelves are kept. Scores are exact, in double precision.
 
 Defined results: vectors that are null, zero, of another length than most rows of the sample, or
 hold null or non-finite components take no part; null ids take no part; repeated rows are separate
-candidates; a table of fewer than k others returns all; an empty table gives no rows.
+candidates, but an id asks once, with its smallest vector; a table of fewer than k others returns all; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -141,6 +143,7 @@ def search(
     recall: float = 0.97,
     tests: int = 300,
     cell: int = 4096,
+    together: int = 16384,
 ) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the k nearest found of each row with id divisible by ``every``."""
     spark = table.sparkSession
@@ -157,36 +160,65 @@ def search(
     # Leaves of the sample hold a fixed number of its points; more rows make fuller leaves, dealt in cells.
     tree = Tree(_lifted(points, most), branching, leaf_points)
     visits = calibrate(tree, points, most, k, recall, tests)
-    shared = spark.sparkContext.broadcast((tree, most, visits))
+    shared = spark.sparkContext.broadcast((tree, most))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, most, _ = shared.value
+        tree, most = shared.value
         for batch in batches:
             if batch.num_rows:
                 leaf = tree.file(_lifted(_stack(batch.column(1)), most))
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array(leaf)], ["id", "v", "leaf"])
 
+    # Rows of one id must part as well, so a row's number is in its hash; it is stored and stays.
+    filed = cut_lineage(
+        good.select("id", "v")
+        .mapInArrow(index, "id long, v array<double>, leaf long")
+        .withColumn("spread", F.xxhash64("id", F.monotonically_increasing_id()))
+    )
+    # One row per leaf of the sample's tree, so at most ``sample`` rows.
+    filled = np.zeros(len(tree.leaves), np.int64)
+    for leaf, n in filed.groupBy("leaf").count().collect():
+        filled[leaf] = n
+    start = np.cumsum(filled) - filled
+    directory = spark.createDataFrame(
+        list(zip(range(len(filled)), start.tolist(), filled.tolist(), strict=True)), "leaf long, start long, n long"
+    )
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, _, visits = shared.value
-        for batch in batches:
-            if batch.num_rows:
-                points = _stack(batch.column(1))
-                leaves = [tree.best_bins(np.append(p, 0.0), visits) for p in points]
-                row = np.repeat(np.arange(len(points)), [len(x) for x in leaves])
-                yield pa.record_batch(
-                    [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(np.concatenate(leaves).astype(np.int64))],
-                    ["id", "v", "leaf"],
-                )
-
-    filed = cut_lineage(good.select("id", "v").mapInArrow(index, "id long, v array<double>, leaf long"))
-    cells = cut_lineage(filed.groupBy("leaf").agg(F.ceil(F.count("*") / cell).cast("int").alias("cells")))
-    held = filed.join(cells, "leaf").withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+        tree, _ = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
+                shelves, leaves, of_query, of_shelf = [], [], [0], [0]
+                for point in _stack(batch.column(1)):
+                    read = np.array(tree.best_bins(np.append(point, 0.0), visits), np.int64)
+                    read = np.sort(read[filled[read] > 0])
+                    first, last = start[read] // cell, (start[read] + filled[read] - 1) // cell
+                    many = last - first + 1
+                    shelf = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    new = np.flatnonzero(np.append(True, shelf[1:] != shelf[:-1])[: len(shelf)])
+                    shelves.append(shelf[new])
+                    leaves.append(np.repeat(read, many))
+                    of_query.append(of_query[-1] + len(new))
+                    of_shelf += (of_shelf[-1] + np.append(new[1:], len(shelf))).tolist() if len(new) else []
+                inner = pa.ListArray.from_arrays(pa.array(of_shelf, pa.int32()), pa.array(np.concatenate(leaves)))
+                place = pa.StructArray.from_arrays([pa.array(np.concatenate(shelves)), inner], ["shelf", "leaves"])
+                places = pa.ListArray.from_arrays(pa.array(of_query, pa.int32()), place)
+                yield pa.record_batch([batch.column(0), batch.column(1), places], ["id", "v", "places"])
+
+    queries = good.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
+    chunks = max(1, -(-rows // (every * together)))
+    held = (
+        filed.join(directory, "leaf")
+        .withColumn("shelf", F.expr(f"(start + pmod(spread, n)) div {cell}"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        .select("shelf", "chunk", "id", "v", "leaf")
+    )
     asked = (
-        good.where(F.col("id") % every == 0)
-        .select("id", "v")
-        .mapInArrow(probe, "id long, v array<double>, leaf long")
-        .join(cells.select(F.col("leaf").alias("leaf"), F.col("cells").alias("cells")), "leaf")
-        .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        queries.mapInArrow(probe, "id long, v array<double>, places array<struct<shelf:bigint,leaves:array<bigint>>>")
+        .select("id", "v", F.inline("places"))
+        .withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
+        .select("shelf", "chunk", "id", "v", "leaves")
     )
 
     def answer(own: pa.Table, queries: pa.Table) -> pa.Table:
@@ -195,11 +227,21 @@ def search(
             ids = own.column("id").to_numpy()
             order = np.argsort(ids, kind="stable")
             ids, v = ids[order], _stack(own.column("v").combine_chunks())[order]
+            here, which = np.unique(own.column("leaf").to_numpy()[order], return_inverse=True)
             q_ids = queries.column("id").to_numpy()
             q = _stack(queries.column("v").combine_chunks())
+            read = queries.column("leaves").combine_chunks()
             for at in range(0, len(q), 256):
                 rough = q[at : at + 256] @ v.T
-                rough[q_ids[at : at + 256, None] == ids[None, :]] = -np.inf
+                # Only the leaves that a query reads count for it.
+                part = read.slice(at, 256)
+                row = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
+                leaf = part.flatten().to_numpy()
+                place = np.minimum(np.searchsorted(here, leaf), len(here) - 1)
+                known = here[place] == leaf
+                reads = np.zeros((len(part), len(here)), bool)
+                reads[row[known], place[known]] = True
+                rough[~reads[:, which] | (q_ids[at : at + 256, None] == ids[None, :])] = -np.inf
                 for i, score in enumerate(rough):
                     if len(score) > k:
                         # All that may be among the best k whatever the last bits of the product say.
@@ -220,8 +262,8 @@ def search(
         )
 
     found = (
-        held.groupBy("leaf", "cell")
-        .cogroup(asked.groupBy("leaf", "cell"))
+        held.groupBy("shelf", "chunk")
+        .cogroup(asked.groupBy("shelf", "chunk"))
         .applyInArrow(answer, "query_id long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
