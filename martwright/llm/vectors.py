@@ -206,7 +206,9 @@ def search(
                 places = pa.ListArray.from_arrays(pa.array(of_query, pa.int32()), place)
                 yield pa.record_batch([batch.column(0), batch.column(1), places], ["id", "v", "places"])
 
-    queries = good.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
+    # A walk of the tree costs far more than its row's bytes tell, so the number of parts is set here.
+    parts = max(1, -(-rows // (every * 256)))
+    queries = good.where(F.col("id") % every == 0).repartition(parts, "id").groupBy("id").agg(F.min("v").alias("v"))
     chunks = max(1, -(-rows // (every * together)))
     held = (
         filed.join(directory, "leaf")
