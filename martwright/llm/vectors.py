@@ -4,8 +4,8 @@ A tree of k-means splits is fitted on a bounded sample of the vectors (``sample`
 hash); every vector is then filed in a leaf. To make the largest inner product the nearest
 neighbour, vectors get one more component, sqrt(M^2 - |x|^2) with M the largest norm, and queries a
 zero there. A query walks the tree with a priority queue of branches by the distance to their
-centres and names its leaves in that order. How many leaves are read is calibrated: on held-out
-sample rows the number is widened until the mean share of true neighbours found reaches ``recall``.
+centres and names its leaves in that order. How many leaves are read is calibrated: on rows
+of the sample the number is widened until the mean share of true neighbours found reaches ``recall``.
 
 Leaves lie in tree order on shelves of about ``cell`` vectors: small leaves share one, and a leaf of
 many (also of equal) vectors spreads over several, so that none lands in one task. A query is sent
@@ -113,7 +113,7 @@ def _lifted(v: np.ndarray, most: float) -> np.ndarray:
 
 
 def calibrate(tree: Tree, points: np.ndarray, most: float, k: int, recall: float, tests: int) -> int:
-    """Fewest leaves to read for ``recall`` on held-out queries, found on the sample."""
+    """Fewest leaves to read for ``recall`` on rows of the sample, which the tree was fitted on."""
     leaf = tree.file(_lifted(points, most))
     probes = np.arange(0, len(points), max(1, len(points) // tests))
     # How many of a probe's true neighbours lie in its first 1, 2, ... leaves.
