@@ -1,8 +1,9 @@
 """Best-fit packing of documents into sequences by a grouping genetic algorithm on islands.
 
 A document's ids end with one separator. Documents longer than a sequence are cut into whole
-sequences, with the shorter piece first; whole pieces need no packing. The other pieces are dealt by
-hash to districts of about ``district`` pieces, and every district is evolved on several islands:
+sequences, with the shorter piece first; whole pieces need no packing. The other pieces are dealt to
+districts of about ``district`` pieces, by hash or, where an order is given, by ranges of it, and every
+district is evolved on several islands:
 
 * An individual is a packing, a list of bins. The first ones come from best fit over shuffled and
   over falling lengths. Fitness is the number of bins, then the mean square of their fill.
@@ -11,9 +12,16 @@ hash to districts of about ``district`` pieces, and every district is evolved on
 * After an epoch the islands of a district meet: the elite of each migrates to the others, a second
   epoch crosses them, and the best packing stays.
 
-Bins that are filled to ``closed`` are then final; the documents of the others move on to districts
-``merge`` times as large until one district is left, so the space that is lost to division shrinks
-with every level. Only lengths and numbers are shuffled, never ids or texts.
+Bins that are filled to ``closed`` are then final; the documents of the others are dealt again, to
+districts of about ``merge`` times as many pieces, so the space that is lost to division shrinks with
+every level. Districts never grow beyond that, whatever stays open. Where a level saves less than
+one open bin in ``gain``, lengths do not fit better than that: its bins are final too, but for those
+filled to half or less, which other districts' may still join. Best fit leaves about one of these in
+a district, so few documents go on and the levels end. Only lengths and numbers are shuffled, never
+ids or texts.
+
+With an order, sequences are numbered along it: by the mean place of their pieces, whole pieces
+included. As pieces that go on meet others from far away, only bins filled to half or less do so then.
 
 Defined results: null and empty texts are the separator alone; null keys pack like others; repeated
 rows are packed once each; an empty table has no sequences. Ids are those of ``tokens``.
@@ -27,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm import tokens
@@ -37,8 +45,10 @@ SEQUENCE = 2048
 SEPARATOR = 0
 
 
-def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SEQUENCE) -> DataFrame:
-    """Rows (key, piece, start, length, ids_crc32)."""
+def pieces(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SEQUENCE, along: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows (key, piece, start, length, ids_crc32), and the columns ``along`` of the document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,18 +63,21 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
                     start.append(begin)
                     length.append(end - begin)
                     crc.append(zlib.crc32(ids[begin:end].tobytes()))
+            rows = pa.array(row, pa.int64())
             yield pa.record_batch(
                 [
-                    batch.column(0).take(pa.array(row, pa.int64())),
+                    batch.column(0).take(rows),
                     pa.array(piece, pa.int32()),
                     *(pa.array(x, pa.int64()) for x in (start, length, crc)),
+                    *(c.take(rows) for c in batch.columns[2:]),
                 ],
-                ["key", "piece", "start", "length", "ids_crc32"],
+                ["key", "piece", "start", "length", "ids_crc32", *along],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        cut, f"key {kind}, piece int, start long, length long, ids_crc32 long"
+    more = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in along)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *along).mapInArrow(
+        cut, f"key {kind}, piece int, start long, length long, ids_crc32 long{more}"
     )
 
 
@@ -177,10 +190,8 @@ def _numbers(packing: list[list[int]], n: int) -> np.ndarray:
     return out
 
 
-def _level(
-    items: DataFrame, districts: int, size: int, islands: int, people: int, rounds: int, closed: float, last: bool
-) -> DataFrame:
-    """``items`` (item, length) with bin, offset and final; a bin is (district, bin)."""
+def _level(items: DataFrame, size: int, islands: int, people: int, rounds: int) -> DataFrame:
+    """``items`` (item, length, district) with bin, offset and fill; a bin is (district, bin)."""
 
     def island(table: pa.Table) -> pa.Table:
         table = table.sort_by("item")
@@ -197,27 +208,37 @@ def _level(
         population = [_as_bins(e.column("bin").to_numpy()) for e in elites]
         packing = evolve(population, lengths, size, rounds, random.Random(0))[0]
         offset = np.zeros(len(lengths), np.int64)
-        final = np.zeros(len(lengths), bool)
+        fill = np.zeros(len(lengths), np.int64)
         for b in packing:
             at = 0
             for i in b:
                 offset[i], at = at, at + lengths[i]
-            final[b] = last or at >= closed * size
+            fill[b] = at
         out = home.select(["item", "length", "district"])
         out = out.append_column("bin", pa.array(_numbers(packing, len(lengths)), pa.int64()))
-        return out.append_column("offset", pa.array(offset)).append_column("final", pa.array(final))
+        return out.append_column("offset", pa.array(offset)).append_column("fill", pa.array(fill))
 
-    dealt = items.withColumn("district", F.pmod(F.xxhash64("item"), F.lit(districts))).withColumn(
-        "island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1)))
-    )
+    dealt = items.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
     evolved = dealt.groupBy("district", "island").applyInArrow(
         island, "item long, length long, district long, island int, bin long"
     )
     return evolved.groupBy("district").applyInArrow(
-        meet, "item long, length long, district long, bin long, offset long, final boolean"
+        meet, "item long, length long, district long, bin long, offset long, fill long"
     )
 
 
+def ranked(df: DataFrame, number: str, *order: str) -> DataFrame:
+    """``df``, stored in the given order, with the rows' numbers from 0."""
+    low = (1 << 33) - 1
+    stored = cut_lineage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    numbered = stored.withColumn("_part", part).join(starts, "_part")
+    return numbered.withColumn(number, F.col("_start") + F.col("_at").bitwiseAND(F.lit(low))).drop("_at", "_part", "_start")
+
+
 def pack(
     cut: DataFrame,
     size: int = SEQUENCE,
@@ -227,35 +248,61 @@ def pack(
     people: int = 3,
     rounds: int = 6,
     closed: float = 0.998,
+    gain: int = 1000,
+    along: tuple[str, ...] = (),
 ) -> DataFrame:
     """``cut`` (a column ``length`` of 1 to ``size``) with sequence_id and offset.
 
-    The rows are written once to the shared folder and numbered there.
+    The rows are written once to the shared folder and numbered there. Districts are dealt and
+    sequences numbered in the order of the columns ``along``, if they are given.
     """
     # A number per row, unique and, as the rows are stored with it, fixed.
-    numbered = cut_lineage(cut.withColumn("item", F.monotonically_increasing_id()))
-    whole = numbered.where(F.col("length") >= size).select(
+    if along:
+        numbered = cut_lineage(ranked(cut, "item", *along))
+    else:
+        numbered = cut_lineage(cut.withColumn("item", F.monotonically_increasing_id()))
+    placed = numbered.where(F.col("length") >= size).select(
         "item", F.lit(0).cast("long").alias("level"), F.col("item").alias("district"), F.lit(0).cast("long").alias("bin"),
         F.lit(0).cast("long").alias("offset"),
     )
-    placed = whole
     pending = numbered.where(F.col("length") < size).select("item", "length")
-    districts = max(1, -(-pending.count() // district))
-    level = 1
+    left, bins, tails, level = pending.count(), None, bool(along), 1
     while True:
-        packed = cut_lineage(
-            _level(pending, districts, size, islands, people, rounds, closed, districts == 1)
-        )
+        held = district if level == 1 else district * merge
+        districts = max(1, -(-left // held))
+        if along and districts > 1:
+            dealt = ranked(pending, "_rank", "item").withColumn("district", F.expr(f"_rank DIV {held}")).drop("_rank")
+        else:
+            dealt = pending.withColumn("district", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(districts)))
+        packed = cut_lineage(_level(dealt, size, islands, people, rounds))
+        # Every bin has one row at offset 0.
+        is_open, half = F.col("fill") < closed * size, F.col("fill") <= size // 2
+        count = lambda what: F.coalesce(F.sum(what.cast("long")), F.lit(0))
+        first = F.col("offset") == 0
+        made, opened, going, halves = packed.agg(
+            count(first), count(first & is_open), count(is_open), count(half)
+        ).first()
+        tails = tails or (bins is not None and (bins - made) * gain < bins)
+        # Of one district, or of tails that no longer get fewer, nothing goes on.
+        last = districts == 1 or (tails and 2 * halves > left)
+        on = F.lit(False) if last else half if tails else is_open
         placed = placed.unionByName(
-            packed.where("final").select("item", F.lit(level).cast("long").alias("level"), "district", "bin", "offset")
+            packed.where(~on).select("item", F.lit(level).cast("long").alias("level"), "district", "bin", "offset")
         )
-        if districts == 1:
+        left, bins = (halves, None) if tails else (going, opened)
+        if last or not left:
             break
-        pending = packed.where("NOT final").select("item", "length")
-        districts = max(1, min(districts // merge, -(-pending.count() // district)))
+        pending = packed.where(on).select("item", "length")
         level += 1
-    # level, district and bin in one number: whole pieces keep their own, even, number.
-    number = F.when(F.col("level") == 0, 2 * F.col("item")).otherwise(
-        2 * (F.col("level") * (1 << 57) + F.col("district") * (1 << 24) + F.col("bin")) + 1
-    )
-    return numbered.join(placed.withColumn("sequence_id", number), "item").drop("item", "level", "district", "bin")
+    if along:
+        places = cut_lineage(placed)
+        middle = places.groupBy("level", "district", "bin").agg(F.avg("item").alias("_middle"))
+        named = ranked(middle, "sequence_id", "_middle", "level", "district", "bin")
+        placed = places.join(named, ["level", "district", "bin"]).drop("_middle")
+    else:
+        # level, district and bin in one number: whole pieces keep their own, even, number.
+        number = F.when(F.col("level") == 0, 2 * F.col("item")).otherwise(
+            2 * (F.col("level") * (1 << 54) + F.col("district") * (1 << 24) + F.col("bin")) + 1
+        )
+        placed = placed.withColumn("sequence_id", number)
+    return numbered.join(placed, "item").drop("item", "level", "district", "bin")

@@ -54,3 +54,40 @@ def test_crossover_keeps_every_document():
         assert sorted(i for b in child for i in b) == list(range(200))
         assert max(sum(lengths[i] for i in b) for b in child) <= 2048
         one = child
+
+
+def test_districts_stay_bounded(spark, monkeypatch):
+    """Pieces of which no two fit, and pieces without fillers: nothing closes, yet no group takes them all."""
+    sizes, level = [], packing._level
+
+    def spy(*args):
+        packed = level(*args).cache()
+        sizes.append(max((r["count"] for r in packed.groupBy("district").count().collect()), default=0))
+        return packed
+
+    monkeypatch.setattr(packing, "_level", spy)
+    rnd = random.Random(7)
+    for low, high, spare in [(1025, 2043, 0), (701, 1347, 0.02)]:
+        lengths = [rnd.randint(low, high) for _ in range(6000)]
+        sizes.clear()
+        docs = spark.createDataFrame(list(enumerate(lengths)), "id long, length long")
+        rows = packing.pack(docs, district=100, merge=4).collect()
+        assert sorted((r.id, r.length) for r in rows) == list(enumerate(lengths))
+        assert max(sizes) <= 1.4 * 400 and len(sizes) > 1
+        best = len(packing.best_fit(sorted(range(6000), key=lambda i: -lengths[i]), lengths, 2048))
+        assert check(rows, 2048) <= best * (1 + spare)
+
+
+def test_sequences_follow_an_order(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.randint(0, 500), i, rnd.choice([rnd.randint(1, 900), 2048])) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "at long, id long, length long").repartition(3)
+    found = packing.pack(docs, district=200, along=("at", "id")).collect()
+    assert sorted((r.at, r.id, r.length) for r in found) == sorted(rows)
+    sequences = check(found, 2048)
+    assert {r.sequence_id for r in found} == set(range(sequences))
+    whole = [(r.sequence_id, r.at, r.id) for r in found if r.length == 2048]
+    assert [x[1:] for x in sorted(whole)] == sorted(x[1:] for x in whole)
+    place = {x: n / len(rows) for n, x in enumerate(sorted((a, i) for a, i, _ in rows))}
+    off = [abs(r.sequence_id / sequences - place[r.at, r.id]) for r in found]
+    assert sum(off) / len(off) < 0.05
