@@ -33,18 +33,28 @@ def load_dimensions(staged: DataFrame, d_city: Table, d_customer: Table, d_item:
 
 
 def sales_rows(staged: DataFrame, d_calendar: DataFrame) -> DataFrame:
-    """Fact rows with refunds as negative amounts."""
+    """Fact rows with refunds as negative amounts; a day that the calendar lacks has no ``date_id``."""
     amount = F.when(F.col("status") == "refunded", -F.col("payment_amount")).otherwise(
         F.col("payment_amount")
     )
     day = d_calendar.select("date_id", F.col("date_actual").alias("_day"))
     dated = staged.withColumn("_day", F.col("date_time").cast("date")).join(day, "_day", "left")
-    # A day that the calendar lacks keeps a slice of its own: ids are the day's digits.
-    own = F.date_format("_day", "yyyyMMdd").cast("int")
-    dated = dated.withColumn("date_id", F.coalesce("date_id", own))
     return schemas.conform(dated.withColumn("payment_amount", amount), "f_sales")
 
 
+def covering(d_calendar: DataFrame, staged: DataFrame) -> DataFrame:
+    """``date_id`` and ``date_actual`` of the calendar and of the staged days that it lacks.
+
+    Without an id of its own an unknown day would share the NULL slice with all others, and loading
+    one of them would delete the rest. Ids are the day's digits, as in the calendar.
+    """
+    known = d_calendar.select("date_id", "date_actual")
+    days = staged.select(F.col("date_time").cast("date").alias("date_actual")).distinct().dropna()
+    missing = days.join(known, "date_actual", "left_anti")
+    digits = F.date_format("date_actual", "yyyyMMdd").cast(known.schema["date_id"].dataType)
+    return known.unionByName(missing.select(digits.alias("date_id"), "date_actual"))
+
+
 def load_sales(staged: DataFrame, d_calendar: DataFrame, f_sales: Table, day: str | None = None):
     """Overwrite the staged days (or just ``day``) of the fact; re-running changes nothing.
 
@@ -54,7 +64,7 @@ def load_sales(staged: DataFrame, d_calendar: DataFrame, f_sales: Table, day: st
     if day is not None and rows.isEmpty():
         f_sales.clear_slice(date_id=int(str(day).replace("-", "")))
         return
-    f_sales.overwrite_slices(sales_rows(rows, d_calendar))
+    f_sales.overwrite_slices(sales_rows(rows, covering(d_calendar, rows)))
 
 
 def migrate_add_status(old: DataFrame, target: Table) -> None:
