@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import mixing, packing, quality, secret_scan, sharding, shipping, simhash, suffixes, tokens, vectors, wrappers
+from martwright.llm import (
+    infill,
+    mixing,
+    packing,
+    phrases,
+    quality,
+    secret_scan,
+    sharding,
+    shipping,
+    simhash,
+    suffixes,
+    tokens,
+    toxicity,
+    vectors,
+    wrappers,
+)
 from martwright.operators.workspace import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +217,76 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_cut_repeats")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.cut_repeats(table(spark, sf_dir, "documents"))
+
+
+PHRASES_SQL = r"""
+WITH piece AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\n\x0b\f\r]')) AS body FROM documents),
+w AS (SELECT lang, regexp_extract_all(body, '[^ \t]+') AS ws FROM piece),
+g AS (SELECT lang, s.size AS size, list_transform(range(1, len(ws) - s.size + 2),
+        lambda i: array_to_string(ws[i:i + s.size - 1], ' ')) AS found
+      FROM w, (VALUES (1), (2), (3)) AS s(size)),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM (SELECT lang, size, unnest(found) AS phrase FROM g) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE size > 1 AND f >= 10),
+cut AS (SELECT lang, size, phrase, ws, a, k, array_to_string(ws[1:k], ' ') AS p, array_to_string(ws[k + 1:], ' ') AS q
+        FROM c, (VALUES (1), (2)) AS t(k) WHERE k < size),
+s AS (SELECT cut.lang, cut.phrase, cut.a, k, x.f AS l, y.f AS r,
+        (1000000::HUGEINT * cut.a * cut.a) // (x.f::HUGEINT * y.f) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = p JOIN f y ON y.lang = cut.lang AND y.phrase = q),
+worst AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+long AS (SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, max(a) AS longer
+         FROM c, (VALUES (1), (2)) AS t(i) WHERE size = 3 GROUP BY ALL),
+kept AS (SELECT worst.* FROM worst LEFT JOIN long USING (lang, phrase)
+         WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", PHRASES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+INFILL_SQL = """
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS us FROM documents),
+d AS (
+  SELECT *, len(us) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+             OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(us[1:lo], '') AS pre, array_to_string(us[lo + 1:hi], '') AS mid,
+        array_to_string(us[hi + 1:], '') AS suf FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_infill_cuts", INFILL_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.infill(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(infill.restored()).alias("restored_sha256"),
+    )
+
+
+@query("op13_subword_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.fold() != 0)
+    found = toxicity.scores(docs, model).withColumn("held_out", F.coalesce(toxicity.fold() == 0, F.lit(False)))
+    return found.select("doc_id", "held_out", "score", "predicted")
