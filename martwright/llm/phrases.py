@@ -21,10 +21,12 @@ no documents or no frequent phrase give no rows. Other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,19 +35,33 @@ from martwright.operators.workspace import cut_lineage
 BREAKS = rb"[.,;:!?\x0A-\x0D]"
 WORDS = 3
 #: One of so many different words starts a chunk.
-EVERY = 8
-#: Different entries that a task counts before it hands them on, and words or pairs it remembers.
-HELD, REMEMBERED = 1 << 17, 1 << 19
-#: Languages whose words a task remembers at once.
-LANGUAGES = 16
-#: Bits of the map of frequent phrases: sixteen for each of them, between these bounds (16 MiB).
+EVERY = 64
+#: Bytes of chunks that a task handles at once, and words whose class it remembers.
+GATHERED, REMEMBERED = 1 << 23, 1 << 19
+#: Bits of the map of frequent phrases: 64 for each of them, between these bounds (16 MiB).
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 SEED = 42
 
 
-def chunks(words: list[bytes], starts) -> Iterator[tuple[bytes, int]]:
-    """(chunk, words that start in it) of a piece; ``starts`` tells triggers."""
-    cuts = [0, *(i for i in range(1, len(words)) if starts(words[i])), len(words)]
+class Triggers(dict):
+    """Whether a word starts a chunk, remembered for words met before."""
+
+    def __missing__(self, word: bytes) -> bool:
+        import xxhash
+
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word) % EVERY == 0
+        return found
+
+
+def chunks(words: list[bytes], triggers: Triggers) -> Iterator[tuple[bytes, int]]:
+    """(chunk, words that start in it) of a piece."""
+    cuts = [i for i, word in enumerate(words) if triggers[word]]
+    if not cuts or cuts == [0]:
+        yield b" ".join(words), len(words)
+        return
+    cuts = [*([0] if cuts[0] else []), *cuts, len(words)]
     for low, high in zip(cuts, cuts[1:], strict=False):
         yield b" ".join(words[low : high + WORDS - 1]), high - low
 
@@ -54,102 +70,100 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     """Rows (lang, chunk, own, freq): the different chunks, the words that start in each, its frequency."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         breaks = re.compile(BREAKS)
-        hash_of = xxhash.xxh3_64_intdigest
-        trigger: dict[bytes, bool] = {}
-
-        def starts(word: bytes) -> bool:
-            found = trigger.get(word)
-            if found is None:
-                if len(trigger) >= REMEMBERED:
-                    trigger.clear()
-                found = trigger[word] = hash_of(word) % EVERY == 0
-            return found
-
-        counts: defaultdict[tuple, int] = defaultdict(int)
+        triggers = Triggers()
+        languages, found, own, size = [], [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            bodies = pa.array(found, pa.binary()).cast(pa.string())
+            return pa.record_batch([pa.array(languages, pa.string()), bodies, pa.array(own, pa.int32())], ["lang", "chunk", "own"])
+
         for batch in batches:
             for language, body in zip(batch.column(0), batch.column(1), strict=True):
-                language = language.as_py()
-                for piece in breaks.split((body.as_py() or "").encode().lower()):
+                language, body = language.as_py(), (body.as_py() or "").encode().lower()
+                for piece in breaks.split(body):
                     # What is left of white space in a piece are blanks and tabs.
-                    for chunk, own in chunks(piece.split(), starts):
-                        if own:
-                            counts[language, chunk, own] += 1
-                if len(counts) >= HELD:
-                    yield _rows(counts)
-                    counts.clear()
-        if counts:
-            yield _rows(counts)
-
-    def _rows(counts) -> pa.RecordBatch:
-        languages, found, own = zip(*counts, strict=True)
-        columns = [pa.array(languages, pa.string()), pa.array(found, pa.binary()).cast(pa.string())]
-        columns += [pa.array(own, pa.int32()), pa.array(list(counts.values()), pa.int64())]
-        return pa.record_batch(columns, ["lang", "chunk", "own", "freq"])
+                    words = piece.split()
+                    if words:
+                        for chunk, starts in chunks(words, triggers):
+                            found.append(chunk)
+                            own.append(starts)
+                languages += [language] * (len(found) - len(languages))
+                size += len(body)
+                if size >= GATHERED and found:
+                    yield rows()
+                    languages, found, own, size = [], [], [], 0
+        if found:
+            yield rows()
 
     parsed = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")), F.col(text).cast("string")).mapInArrow(
-        parse, "lang string, chunk string, own int, freq long"
+        parse, "lang string, chunk string, own int"
     )
-    return parsed.groupBy("lang", "chunk", "own").agg(F.sum("freq").alias("freq"))
+    return parsed.groupBy("lang", "chunk", "own").agg(F.count("*").alias("freq"))
 
 
-def grams(entries: DataFrame, size: int, bits: int = 0, known=None) -> DataFrame:
-    """Rows (lang, phrase, f): weighted counts of the phrases of ``size`` words.
+def _met(names: pa.Array, phrases: pa.Array, bits: int, table: np.ndarray) -> np.ndarray:
+    """Which phrases the bit map has."""
+    import xxhash
 
-    ``known`` is a broadcast bit map of ``bits`` bits: of the frequent phrases one word shorter.
-    """
+    hash_of = xxhash.xxh64_intdigest
+    keys = pc.binary_join_element_wise(names, phrases, "\n").cast(pa.binary()).to_pylist()
+    at = np.fromiter((hash_of(k, SEED) & (bits - 1) for k in keys), np.int64, len(keys))
+    return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        hash_of = xxhash.xxh64_intdigest
-        table = known.value if known is not None else b""
-        memory: dict[bytes, dict[bytes, bool]] = {}
+def weighted(entries: pa.Table, size: int, maps: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Counts (lang, phrase, f) of the phrases of ``size`` words in dictionary entries.
 
-        def frequent(language: bytes, phrase: bytes, seen: dict[bytes, bool]) -> bool:
-            found = seen.get(phrase)
-            if found is None:
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                at = hash_of(language + b"\n" + phrase, SEED) & (bits - 1)
-                found = seen[phrase] = bool(table[at >> 3] >> (at & 7) & 1)
-            return found
+    ``maps`` has the frequent phrases of one word, two and so on; phrases grow word by word, and only
+    where the two shorter ones that they consist of are in the map.
+    """
+    entries = entries.combine_chunks()
+    languages = entries["lang"].combine_chunks().dictionary_encode()
+    lists = pc.split_pattern(entries["chunk"].combine_chunks(), " ")
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    tokens = lists.flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(row)) - (np.cumsum(lengths) - lengths)[row]
+    left = lengths[row] - place
+    different = len(tokens.dictionary)
+    keys = languages.indices.to_numpy().astype(np.int64)[row] * different + tokens.indices.to_numpy()
+    unique, word = np.unique(keys, return_inverse=True)
+    names = languages.dictionary.take(pa.array(unique // different))
+    words = phrases = tokens.dictionary.take(pa.array(unique % different))
+    index, valid = word, np.ones(len(row), bool)
+    for shorter, (bits, table) in enumerate(maps[: size - 1], 1):
+        good = valid & _met(names, phrases, bits, table)[index]
+        at = np.flatnonzero(good[:-1] & good[1:] & (left[:-1] > shorter))
+        unique, found = np.unique(index[at] * len(words) + word[at + shorter], return_inverse=True)
+        begin = pa.array(unique // len(words))
+        names = names.take(begin)
+        phrases = pc.binary_join_element_wise(phrases.take(begin), words.take(pa.array(unique % len(words))), " ")
+        index, valid = np.zeros(len(row), np.int64), np.zeros(len(row), bool)
+        index[at], valid[at] = found, True
+    at = np.flatnonzero(valid & (place < entries["own"].to_numpy()[row]))
+    counts = np.bincount(index[at], entries["freq"].to_numpy()[row[at]], len(phrases)).astype(np.int64)
+    some = pa.array(np.flatnonzero(counts))
+    return pa.record_batch([names.take(some), phrases.take(some), pa.array(counts).take(some)], ["lang", "phrase", "f"])
+
+
+def grams(entries: DataFrame, size: int, maps: list[tuple[int, Broadcast]]) -> DataFrame:
+    """Rows (lang, phrase, f): weighted counts of the phrases of ``size`` words.
+
+    ``maps`` has a bit map of the frequent phrases of each smaller size and the number of its bits.
+    """
 
-        counts: defaultdict[tuple, int] = defaultdict(int)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [(bits, np.frombuffer(table.value, np.uint8)) for bits, table in maps]
+        held, bytes_held = [], 0
         for batch in batches:
-            for language, chunk, own, freq in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
-                words = chunk.encode().split(b" ")
-                name = language.encode()
-                if name not in memory and len(memory) >= LANGUAGES:
-                    memory.clear()
-                seen = memory.setdefault(name, {})
-                last = min(own, len(words) - size + 1)
-                if size == 1:
-                    for word in words[:last]:
-                        counts[language, word] += freq
-                elif size == 2:
-                    good = [frequent(name, w, seen) for w in words]
-                    for i in range(last):
-                        if good[i] and good[i + 1]:
-                            counts[language, words[i] + b" " + words[i + 1]] += freq
-                else:
-                    shorter = [b" ".join(words[i : i + size - 1]) for i in range(last + 1)] if last > 0 else []
-                    good = [frequent(name, p, seen) for p in shorter]
-                    for i in range(last):
-                        if good[i] and good[i + 1]:
-                            counts[language, shorter[i] + b" " + words[i + size - 1]] += freq
-                if len(counts) >= HELD:
-                    yield _rows(counts)
-                    counts.clear()
-        if counts:
-            yield _rows(counts)
-
-    def _rows(counts) -> pa.RecordBatch:
-        languages, phrases = zip(*counts, strict=True)
-        columns = [pa.array(languages, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string())]
-        return pa.record_batch([*columns, pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "f"])
+            held.append(batch)
+            bytes_held += batch.nbytes
+            if bytes_held >= GATHERED:
+                yield weighted(pa.Table.from_batches(held), size, known)
+                held, bytes_held = [], 0
+        if bytes_held:
+            yield weighted(pa.Table.from_batches(held), size, known)
 
     counted = entries.select("lang", "chunk", "own", "freq").mapInArrow(count, "lang string, phrase string, f long")
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -158,7 +172,7 @@ def grams(entries: DataFrame, size: int, bits: int = 0, known=None) -> DataFrame
 def bit_map(frequent: DataFrame) -> tuple[int, bytes]:
     """(number of bits, bits) of the hashes of (lang, phrase); at most ``MOST_BITS`` whatever their number."""
     bits = LEAST_BITS
-    wanted = min(16 * frequent.count(), MOST_BITS)
+    wanted = min(64 * frequent.count(), MOST_BITS)
     while bits < wanted:
         bits *= 2
     place = F.xxhash64(F.concat("lang", F.lit("\n"), "phrase")).bitwiseAND(F.lit(bits - 1))
@@ -228,14 +242,14 @@ def collocations(
     """
     context = docs.sparkSession.sparkContext
     entries = cut_lineage(dictionary(docs, text, lang))
-    words = cut_lineage(grams(entries, 1))
+    words = cut_lineage(grams(entries, 1, []))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
-    levels = []
+    levels, maps = [], []
     for size in range(2, WORDS + 1):
         bits, table = bit_map(frequent)
-        known = context.broadcast(table)
-        frequent = cut_lineage(grams(entries, size, bits, known).where(F.col("f") >= least))
+        maps.append((bits, context.broadcast(table)))
+        frequent = cut_lineage(grams(entries, size, maps).where(F.col("f") >= least))
         levels.append(frequent)
     candidates = levels[0].unionByName(levels[1])
     counts = words.where(F.col("f") >= least).unionByName(levels[0])
