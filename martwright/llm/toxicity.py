@@ -21,6 +21,7 @@ ones, 0 where there is none; an empty table gives no rows.
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martwright.operators.workspace import cut_lineage
+
 TRAIN_ROWS = 4000
 TRAIN_BYTES = 12 << 20
 TABLE = 1 << 18
@@ -206,27 +209,35 @@ def train(texts: list[str], labels: list[int]) -> Model:
     return kept
 
 
-def sample(labelled: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> DataFrame:
-    """Rows (text, label): the first of each class in the order of a hash, together at most ``size`` bytes."""
-    named = labelled.select(
-        F.xxhash64("key", "text").alias("at"), F.octet_length("text").alias("bytes"), "key", "text", "label"
-    )
-    first = named.select("at", "bytes", "key", "label").withColumn(
-        "place", F.row_number().over(Window.partitionBy("label").orderBy("at", "key"))
-    )
-    # At most `rows` of each class are left when the bytes are added up.
-    first = first.where(F.col("place") <= rows).withColumn(
-        "upto", F.sum("bytes").over(Window.orderBy("place", "label", "at", "key"))
+def sample(
+    docs: DataFrame, marks: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES
+) -> DataFrame:
+    """Rows (key, label, text) of ``docs`` (key, text): the first of each class in the order of a hash.
+
+    They are chosen from keys and lengths alone; only the texts of the sample, ``rows`` of each class and
+    together at most ``size`` bytes, leave their place. Of texts of one key and length the least is taken.
+    """
+    there = docs.groupBy("key", F.octet_length("text").alias("bytes")).agg(F.lit(1).alias("_one")).drop("_one")
+    labelled = there.join(marks, "key").withColumn("at", F.xxhash64("key", "bytes"))
+    order = ["at", "key", "bytes"]
+    first = [labelled.where(F.col("label") == c).orderBy(*order).limit(rows) for c in (0, 1)]
+    ranked = first[0].unionByName(first[1]).withColumn(
+        "place", F.row_number().over(Window.partitionBy("label").orderBy(*order))
     )
-    chosen = first.where(F.col("upto") <= size).select("key", "at", "label").distinct()
-    return named.join(chosen, ["key", "at", "label"], "left_semi").dropDuplicates(["key", "at", "label"])
+    upto = F.sum("bytes").over(Window.orderBy("place", "label").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = ranked.withColumn("upto", upto).where(F.col("upto") <= size).select("key", "bytes", "label")
+    # At most twice `rows` narrow rows.
+    wanted = F.broadcast(cut_lineage(chosen))
+    met = docs.withColumn("bytes", F.octet_length("text")).join(wanted, ["key", "bytes"])
+    return met.groupBy("key", "label", "bytes").agg(F.min("text").alias("text")).drop("bytes")
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text") -> Model:
     """The model learnt from the labelled documents for which ``allowed`` (over ``key``) holds."""
-    marks = labels.where(allowed).select(F.col(key).alias("key"), F.col("toxic").alias("label")).where("label IN (0, 1)")
-    body = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = sample(body.join(marks.distinct(), "key")).orderBy("at", "key", "label").collect()
+    marks = labels.where(allowed).select(F.col(key).alias("key"), F.col("toxic").cast("int").alias("label"))
+    body = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = sample(body, marks.where("label IN (0, 1)").distinct()).collect()
+    rows.sort(key=lambda r: (hashlib.sha256(str(r.key).encode()).digest(), r.label))
     toxic = sum(r.label for r in rows)
     if 0 < toxic < len(rows):
         return train([r.text for r in rows], [r.label for r in rows])
