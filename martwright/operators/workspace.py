@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_collectors: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths that :func:`cut_lineage` writes inside the block, for :func:`drop` when they are done with."""
+    paths: list[str] = []
+    _collectors.append(paths)
+    try:
+        yield paths
+    finally:
+        _collectors.remove(paths)
+
+
+def drop(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete intermediate files that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` below the shared folder and go on from the written files.
 
@@ -43,4 +66,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, "cut")
     df.write.parquet(path)
+    for paths in _collectors:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
