@@ -182,4 +182,5 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     optimizer that merges the second pass into the first would evaluate them once for every use.
     """
     featured = cut_lineage(features(docs, text))
-    return verdicts(featured, fences(sketches(featured)))
+    # Stored fences have a known size: a few groups go to the rows, which then stay in place.
+    return verdicts(featured, cut_lineage(fences(sketches(featured))))
