@@ -20,7 +20,8 @@ pivots are used:
 
 Within a key only a spanning forest of its links is emitted, never all pairs. A key of more than
 ``CELL`` fingerprints is dealt in chunks, and every two chunks meet in a cell of their own. The
-forests' edges are joined to classes by large-star and small-star steps, kept in the shared folder.
+forests' edges are joined to classes by union-find inside tasks and by large-star and small-star steps
+between them, kept in the shared folder.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other; null keys take
 part in fingerprints and classes but never name one (a class of null keys only has a null name);
@@ -42,6 +43,8 @@ from martwright.operators.workspace import cut_lineage
 SEED = 42
 BLOCKS = 6
 CELL = 4096
+#: Edges that one task joins to classes (dictionaries of some 100 MB).
+TASK_EDGES = 500_000
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, 16, dtype=np.uint64)
 
 
@@ -163,15 +166,53 @@ def links(nodes: DataFrame, max_bits: int = 3) -> DataFrame:
     return dealt.mapInArrow(meet, "u long, v long").where("u != v").distinct()
 
 
+def contracted(edges: DataFrame, tasks: int) -> DataFrame:
+    """Edges (u, v), u > v, with the same classes: each of ``tasks`` tasks links its nodes to their smallest."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while above.get(top, top) != top:
+                top = above[top]
+            while above.get(x, x) != top:
+                above[x], x = top, above.get(x, x)
+            return top
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = root(u), root(v)
+                if x != y:
+                    above[max(x, y)] = min(x, y)
+        nodes = list(above)
+        roots = [root(x) for x in nodes]
+        for at in range(0, len(nodes), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.record_batch([pa.array(nodes[part], pa.int64()), pa.array(roots[part], pa.int64())], ["u", "v"])
+
+    return edges.select("u", "v").coalesce(tasks).mapInArrow(contract, "u long, v long").where("u != v")
+
+
 def classes(edges: DataFrame) -> DataFrame:
-    """Rows (node, component) of every node that has an edge; the component is its smallest node."""
+    """Rows (node, component) of every node that has an edge; the component is its smallest node.
+
+    Each task first links the nodes of its edges to the smallest that it knows them to be joined to;
+    that is done again after each round of stars. Tasks take ``TASK_EDGES`` edges, so that edges which
+    fit one task need no round.
+    """
     one = lambda df: df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
-    state = lambda df: tuple(
-        df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") / (1 << 20))).first()
-    )
-    edges = cut_lineage(one(edges))
-    seen = state(edges)
-    while True:
+    state = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    edges = cut_lineage(edges)
+    seen, tasks = None, -(-edges.count() // TASK_EDGES)
+    while tasks > 1:
+        edges = cut_lineage(contracted(edges, tasks).distinct())
+        now = state(edges)
+        if now == seen:
+            break
+        seen, tasks = now, -(-now[0] // TASK_EDGES)
+        if tasks <= 1:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # Large star: every larger neighbour of u moves to u's smallest neighbour.
@@ -180,10 +221,8 @@ def classes(edges: DataFrame) -> DataFrame:
         # Small star: the smaller neighbours of u, and u, move to the smallest of them.
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(one(small.unionByName(low.select("u", F.col("m").alias("v")))))
-        now = state(edges)
-        if now == seen:
-            break
-        seen = now
+    if tasks <= 1:
+        edges = cut_lineage(contracted(edges, 1))
     roots = edges.groupBy("u").agg(F.min("v").alias("component"))
     names = edges.select(F.col("v").alias("u"), F.col("v").alias("component")).distinct()
     return roots.unionByName(names).groupBy("u").agg(F.min("component").alias("component")).withColumnRenamed("u", "node")
@@ -194,9 +233,15 @@ def near_duplicates(
 ) -> DataFrame:
     """Rows (key, fingerprint, component_id), one per row of ``docs``. The key is a whole number."""
     marked = cut_lineage(fingerprints(docs, key, text, shingle))
-    nodes = cut_lineage(marked.groupBy("fp").agg(F.min("key").cast("long").alias("node")))
-    found = cut_lineage(classes(links(nodes.where("node IS NOT NULL"), max_bits)))
-    named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    named = cut_lineage(marked.groupBy("fp").agg(F.min("key").cast("long").alias("name")))
+    # A fingerprint is its own node: one that no row with a key has links others all the same.
+    nodes = named.select("fp", F.col("fp").alias("node"))
+    found = cut_lineage(classes(links(nodes, max_bits)))
+    grouped = named.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp")
+    )
+    least = grouped.groupBy("component").agg(F.min("name").alias("component_id"))
+    named = grouped.join(least, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(
         F.col("key").alias(key), _hex(F.col("fp")).alias("fingerprint"), "component_id"
     )

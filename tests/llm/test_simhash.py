@@ -73,3 +73,36 @@ def test_one_of_each_class_stays(odd_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(204) == 1 and ids.count(None) == 1
     assert not set(range(100, 110)) & set(ids)
+
+
+def test_rows_without_id_link_others(spark):
+    """A fingerprint that only rows without an id have is linked, and links two others."""
+    rnd = random.Random(8)
+    x = rnd.getrandbits(64)
+    prints = {5: x, None: x ^ 0b111, 9: x ^ 0b111 ^ (0b111 << 20), 4: rnd.getrandbits(64)}
+    rows = [(k, str(v)) for k, v in prints.items()] + [(None, str(rnd.getrandbits(64)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = docs.selectExpr("doc_id AS key", "CAST(CAST(text AS DECIMAL(20, 0)) - CASE WHEN CAST(text AS DECIMAL(20, 0)) >= 9223372036854775808"
+                             " THEN 18446744073709551616 ELSE 0 END AS BIGINT) AS fp")
+    real = simhash.fingerprints
+    simhash.fingerprints = lambda *_: marked
+    try:
+        found = simhash.near_duplicates(docs).collect()
+    finally:
+        simhash.fingerprints = real
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (0, 5), (4, 4), (5, 5), (9, 5)]
+
+
+def test_edges_of_several_tasks(spark, monkeypatch):
+    """Long chains and stars whose edges do not fit one task."""
+    monkeypatch.setattr(simhash, "TASK_EDGES", 40)
+    rnd = random.Random(6)
+    names = rnd.sample(range(10**6), 300)
+    edges = [(names[i], names[i + 1]) for i in range(120)] + [(names[150], names[i]) for i in range(151, 250)]
+    edges += [(names[i], names[i + 1]) for i in range(260, 290, 2)] + edges[:30]
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    found = {r.node: r.component for r in simhash.classes(frame).collect()}
+    want = {n: min(names[:121]) for n in names[:121]} | {n: min(names[150:250]) for n in names[150:250]}
+    for i in range(260, 290, 2):
+        want |= {names[i]: min(names[i : i + 2]), names[i + 1]: min(names[i : i + 2])}
+    assert found == want
