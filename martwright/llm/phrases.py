@@ -133,7 +133,8 @@ def weighted(entries: pa.Table, size: int, maps: list[tuple[int, np.ndarray]]) -
     words = phrases = tokens.dictionary.take(pa.array(unique % different))
     index, valid = word, np.ones(len(row), bool)
     for shorter, (bits, table) in enumerate(maps[: size - 1], 1):
-        good = valid & _met(names, phrases, bits, table)[index]
+        good = np.zeros(len(row), bool)
+        good[valid] = _met(names, phrases, bits, table)[index[valid]]
         at = np.flatnonzero(good[:-1] & good[1:] & (left[:-1] > shorter))
         unique, found = np.unique(index[at] * len(words) + word[at + shorter], return_inverse=True)
         begin = pa.array(unique // len(words))

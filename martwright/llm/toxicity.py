@@ -89,7 +89,8 @@ def window_starts(n: int) -> np.ndarray:
 
 
 def _logistic(x):
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-x))
 
 
 class Texts:
