@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from martwright.catalog.registry import query
 from martwright.catalog.views import view
 from martwright.operators.workspace import scratch
@@ -214,6 +216,42 @@ def friends_mart_reference(spark, sf_dir):
     return plan.friends_mart(located, RUN_DATE, "reference", hot_rows=10).drop("local_time")
 
 
+# Four of five users write from one square of their city's centre, in one channel.
+_CROWD = """
+crowd AS (SELECT s.event_id, s.date, s.event_ts, s.event_type, s.message_from, s.message_to,
+    CASE WHEN message_from % 5 < 4 THEN 1 ELSE message_group END AS message_group,
+    CASE WHEN lat IS NULL THEN NULL WHEN message_from % 5 < 4
+      THEN (SELECT MIN(city_lat) FROM {v_cities}) + message_from % 7 * CAST(0.001 AS DOUBLE) ELSE lat END AS lat,
+    CASE WHEN lat IS NULL THEN NULL WHEN message_from % 5 < 4
+      THEN (SELECT MIN(city_lng) FROM {v_cities}) + message_from % 3 * CAST(0.001 AS DOUBLE) ELSE lon END AS lon
+  FROM {v_social} s)"""
+
+
+@query(
+    "friends_mart_crowded",
+    _FRIENDS.replace("{distinct}", "DISTINCT")
+    .replace("{v_social}", "crowd")
+    .replace("WITH", f"WITH {_CROWD.strip()},", 1),
+)
+def friends_mart_crowded(spark, sf_dir):
+    """One cell of one channel owns most members; its pairs are cut into cells of eight by eight."""
+    events, cities = view(spark, sf_dir, "v_social"), view(spark, sf_dir, "v_cities")
+    near = F.col("message_from") % 5 < 4
+    corner = F.broadcast(cities.agg(F.min("city_lat").alias("south"), F.min("city_lng").alias("west")))
+    step = F.lit(0.001)
+    crowd = events.join(corner).withColumns(
+        {
+            "message_group": F.when(near, F.lit(1).cast("bigint")).otherwise(F.col("message_group")),
+            "lon": F.when(F.col("lat").isNotNull() & near, F.col("west") + F.col("message_from") % 3 * step)
+            .otherwise(F.col("lon")),
+            "lat": F.when(F.col("lat").isNotNull() & near, F.col("south") + F.col("message_from") % 7 * step)
+            .otherwise(F.col("lat")),
+        }
+    ).drop("south", "west")
+    located = plan.events_with_city(crowd, cities)
+    return plan.friends_mart(located, RUN_DATE, hot_rows=8).drop("local_time")
+
+
 # -- lake folders -----------------------------------------------------------
 
 _WINDOW = f"""WITH {_LOCATED} SELECT event_id, date, event_type, city FROM located

@@ -83,7 +83,7 @@ def pairs_within(
 
     The join key is (group, grid cell): members of a group that are too far
     apart never meet, so the work follows the size of the answer and not the
-    square of the group. Crowded cells of large groups are spread over tasks.
+    square of the group. Pairs of crowded cells are cut both ways and spread over tasks.
     """
     located = members.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     here = with_cell(located, lat, lon, radius_km).select(

@@ -191,3 +191,21 @@ def test_constraints(spark, rows):
     with pytest.raises(QualityError, match="k_unique: 1"):
         enforce(report)
     enforce(report.where("severity = 'WARN'"))
+
+
+def test_blocks_bound_both_sides_of_a_hot_key(spark):
+    from martwright.operators.skew import blocks, hot_key_join
+
+    left = spark.range(9000).selectExpr("CASE WHEN id < 6000 THEN NULL WHEN id < 8900 THEN 1 ELSE id END AS k", "id AS l")
+    right = spark.range(5000).selectExpr("CASE WHEN id < 3000 THEN 1 ELSE id + 5000 END AS k", "id AS r")
+    rows, cols = blocks(left, right, ["k"], 500)
+    for side, most in ((rows, 700), (cols, 700)):
+        sizes = side.where("k IS NOT NULL").groupBy("k", "_row", "_col").count()
+        assert sizes.agg({"count": "max"}).first()[0] <= most
+    # 2900 rows by 3000: six strips each way.
+    assert rows.where("k = 1").select("_row", "_col").distinct().count() == 36
+    found = hot_key_join(left, right, ["k"], 500)
+    plain = left.join(right, "k")
+    total = lambda df: df.selectExpr("count(*)", "bit_xor(xxhash64(k, l, r))", "sum(l * 7 + r)").first()
+    assert total(found) == total(plain)
+    assert found.count() == found.distinct().count()
