@@ -13,13 +13,7 @@ from martwright.operators.workspace import cut_lineage
 from martwright.plans.notifications import NOTIFICATION_KEY, active_campaigns, notifications
 from martwright.sources.readers import read_messages
 from martwright.sources.writers import as_messages, write_messages
-from martwright.streaming.batches import (
-    batch_name,
-    batch_table,
-    insert_new,
-    rows_of,
-    run_stream,
-)
+from martwright.streaming.batches import Journal, batch_table, new_rows, replace_batch, run_stream
 
 
 def feedback_table(spark: SparkSession, path: str) -> Table:
@@ -30,30 +24,33 @@ def campaign_handler(
     subscribers: Callable[[], DataFrame],
     feedback: Table,
     push: Mapping[str, str],
-    stream: str,
+    journal: Journal,
     now: Callable[[], Column] = F.unix_timestamp,
 ) -> Callable[[DataFrame, int], None]:
     """Handler of one micro-batch.
 
-    The batch is written out once, so that both sinks see the same rows and
-    the joins know how small it is. Subscribers are read again for every batch. Campaigns are filtered before
-    the join, so only the active ones meet the subscribers. The keyed table is
-    written first; what it took as new is then pushed.
+    Which campaigns are active and who subscribes is decided once, at the first attempt, and journalled
+    with the moment; both sinks take the journalled rows, so a retry at a later clock or with other
+    subscribers changes nothing. Subscribers are read again for every batch. Campaigns are filtered
+    before the join, so only the active ones meet the subscribers.
     """
+    # A campaign is announced once; the earliest message wins.
+    order = ["datetime_created", "adv_campaign_datetime_start", "adv_campaign_content"]
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        moment = now()
-        active = cut_lineage(active_campaigns(batch, moment))
-        if active.isEmpty():
+        name = journal.batch(epoch_id)
+
+        def decide() -> DataFrame:
+            moment = now()
+            active = cut_lineage(active_campaigns(batch, moment))
+            rows = notifications(active, subscribers(), moment)
+            return new_rows(feedback, cut_lineage(rows), NOTIFICATION_KEY, name, order)
+
+        rows = journal.once(name, decide)
+        if rows.isEmpty():
             return
-        name = batch_name(stream, epoch_id)
-        rows = cut_lineage(notifications(active, subscribers(), moment)).withColumn(
-            "feedback", F.lit(None).cast("string")
-        )
-        # A campaign is announced once; the earliest message wins.
-        order = ["datetime_created", "adv_campaign_datetime_start", "adv_campaign_content"]
-        insert_new(feedback, rows, NOTIFICATION_KEY, name, order)
-        write_messages(as_messages(rows_of(feedback, name).drop("feedback")), push, name)
+        replace_batch(feedback, rows.withColumn("feedback", F.lit(None).cast("string")), name)
+        write_messages(as_messages(rows), push, name)
 
     return handle
 
@@ -70,5 +67,5 @@ def start_campaigns(
     trigger: Mapping[str, object] | None = None,
 ):
     messages = read_messages(spark, source, schemas.SCHEMAS["campaign_message"])
-    handler = campaign_handler(subscribers, feedback, push, stream, now)
+    handler = campaign_handler(subscribers, feedback, push, Journal(spark, checkpoint, stream), now)
     return run_stream(messages, handler, checkpoint, trigger)

@@ -22,6 +22,7 @@ from martwright.plans.order_vault import (
 from martwright.sources.readers import read_messages
 from martwright.sources.writers import as_messages, write_messages
 from martwright.streaming.batches import (
+    Journal,
     batch_name,
     batch_table,
     insert_new,
@@ -30,6 +31,7 @@ from martwright.streaming.batches import (
     run_stream,
 )
 
+# Fixed value: what the vault's audit column calls this source.
 LOAD_SOURCE = "stg-service"
 _AUDIT = [T.StructField("load_dt", T.TimestampNTZType()), T.StructField("load_src", T.StringType())]
 
@@ -55,9 +57,10 @@ def start_landing(
     """Land order messages once per ``object_id``, payload kept as JSON text."""
     schema = T.StructType.fromDDL("object_id BIGINT, object_type STRING, payload STRING")
     messages = read_messages(spark, source, schema)
+    journal = Journal(spark, checkpoint, stream)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        insert_new(landing, cut_lineage(batch), ["object_id"], batch_name(stream, epoch_id))
+        insert_new(landing, cut_lineage(batch), ["object_id"], journal.batch(epoch_id))
 
     return run_stream(messages, handle, checkpoint, trigger)
 
@@ -110,7 +113,8 @@ def start_vault(
     trigger: Mapping[str, object] | None = None,
 ):
     messages = read_messages(spark, source, schemas.SCHEMAS["order_message"])
-    return run_stream(messages, vault_handler(tables, enriched, stream), checkpoint, trigger)
+    name = Journal(spark, checkpoint, stream).stream
+    return run_stream(messages, vault_handler(tables, enriched, name), checkpoint, trigger)
 
 
 # -- counters ---------------------------------------------------------------
@@ -167,7 +171,8 @@ def start_counters(
     trigger: Mapping[str, object] | None = None,
 ):
     messages = read_messages(spark, source, schemas.SCHEMAS["enriched_message"])
-    return run_stream(messages, counter_handler(tables, stream, semantics), checkpoint, trigger)
+    name = Journal(spark, checkpoint, stream).stream
+    return run_stream(messages, counter_handler(tables, name, semantics), checkpoint, trigger)
 
 
 def read_counters(tables: Mapping[str, Table], subject: str) -> DataFrame:

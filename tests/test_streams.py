@@ -167,3 +167,37 @@ def test_unreadable_messages_do_not_stop_the_stream(spark, tmp_path):
     (tmp_path / "in" / "1.txt").write_text("not json\n" + json.dumps(_order(1)) + "\n")
     tables = _run_vault(spark, tmp_path, names=["h_order"])
     assert tables["h_order"].read().count() == 1
+
+
+def test_retry_at_a_later_clock_changes_nothing(spark, tmp_path, rows):
+    """The clock moves on, a subscriber comes and the table is compacted between two attempts at a batch."""
+    journal = batches.Journal(spark, str(tmp_path / "cp"), "s")
+    feedback = campaigns.feedback_table(spark, str(tmp_path / "feedback"))
+    push = {"format": "text", "path": str(tmp_path / "push")}
+    messages = [_campaign("r1", "now", NOW - 9, NOW), _campaign("r1", "soon", NOW + 5, NOW + 99)]
+    raw = spark.createDataFrame([(json.dumps(m),) for m in messages], "value STRING")
+    batch = parse_messages(raw, campaigns.schemas.SCHEMAS["campaign_message"])
+    people = spark.createDataFrame([(1, "a", "r1")], "id BIGINT, client_id STRING, restaurant_id STRING")
+
+    def attempt(clock, subscribers, journal=journal):
+        campaigns.campaign_handler(lambda: subscribers, feedback, push, journal, lambda: F.lit(clock))(batch, 0)
+        sent = [json.loads(r["value"]) for r in spark.read.text(push["path"]).collect()]
+        stored = rows(feedback.read(), "adv_campaign_id", "client_id", "trigger_datetime_created")
+        return stored, sorted((m["adv_campaign_id"], m["client_id"], m["trigger_datetime_created"]) for m in sent)
+
+    first = attempt(NOW, people)
+    assert first == ([("now", "a", NOW)],) * 2
+    two = people.unionByName(people.withColumn("client_id", F.lit("b")))
+    assert attempt(NOW + 50, two) == first
+    batches.compact(feedback, campaigns.NOTIFICATION_KEY)
+    assert attempt(NOW + 50, two) == first
+    # A new checkpoint of the same stream starts from epoch zero and leaves the older rows alone.
+    again = batches.Journal(spark, str(tmp_path / "cp2"), "s")
+    more = [("now", "a", NOW), ("soon", "a", NOW + 50), ("soon", "b", NOW + 50)]
+    assert attempt(NOW + 50, two, again) == (more, more)
+    assert batches.Journal(spark, str(tmp_path / "cp"), "s").stream == journal.stream != again.stream
+    # Compacting leaves the newest batch of each stream to itself.
+    batches.compact(feedback, campaigns.NOTIFICATION_KEY)
+    assert rows(feedback.read(), batches.BATCH, "client_id") == sorted(
+        [(journal.batch(0), "a"), (again.batch(0), "a"), (again.batch(0), "b")]
+    )
