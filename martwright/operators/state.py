@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from martwright import schemas
 from martwright.operators.tables import Table
 
+#: The mark of what has never been loaded.
+FIRST_MARK = "1900-01-01 00:00:00"
+
 
 def _one_row(spark: SparkSession, schema: T.StructType, values: tuple) -> DataFrame:
     """A row of literals, made without a Python worker."""
@@ -40,7 +43,7 @@ class WorkflowState:
         self.table.upsert(row, ["workflow_key"])
         self.table.vacuum()
 
-    def high_water(self, key: str, default: str = "1900-01-01 00:00:00") -> str:
+    def high_water(self, key: str, default: str = FIRST_MARK) -> str:
         """Mark of the last load, or ``default`` before the first."""
         return self.get(key).get("last_loaded_ts", default)
 
@@ -53,6 +56,18 @@ class WorkflowState:
             settings["num_loaded"] = num_loaded
         self.put(key, settings)
 
+    def marks(self, key: str) -> dict[str, str]:
+        """Marks by source of a workflow that loads from several; sources without one are missing."""
+        return self.get(key).get("marks", {})
+
+    def advance_marks(self, key: str, marks: dict[str, str]) -> None:
+        """Move the marks of several sources forward (never back), in one write."""
+        settings = self.get(key)
+        known = settings.get("marks", {})
+        later = {name: mark for name, mark in marks.items() if mark > known.get(name, "")}
+        if later:
+            self.put(key, {**settings, "marks": {**known, **later}})
+
 
 def days_before(now: dt.datetime, days: int = 7) -> str:
     """Default mark of a workflow that has never run."""

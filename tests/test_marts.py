@@ -3,7 +3,9 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from martwright import schemas
 from martwright.operators.quality import QualityError, check_constraints
 from martwright.operators.tables import Table
 from martwright.plans import couriers, customer_report, finance, geo, group_vault, sales
@@ -81,26 +83,115 @@ def test_report_reference_keeps_ties_and_ranks_category_by_name(star, star_parts
     assert report.where("customer_id = 1").count() == 4
 
 
+def report_mart(spark, path):
+    return Table(spark, str(path), schemas.SCHEMAS["customer_report_datamart"], ["report_period"])
+
+
+def as_sides(f_order, craft, customer, product):
+    return {"f_order": f_order, "d_craftsman": craft, "d_customer": customer, "d_product": product}
+
+
 def test_report_incremental_rebuilds_touched_months(spark, star_parts, tmp_path, rows):
     f_order, craft, customer, product = star_parts
-    mart = Table(
-        spark, str(tmp_path / "mart"),
-        customer_report.customer_report(
-            customer_report.order_star(*star_parts), customer).schema,
-        ["report_period"],
-    )
-    first = customer_report.order_star(*star_parts)
-    customer_report.refresh_customer_report(mart, first, customer, "1900-01-01 00:00:00")
+    mart = report_mart(spark, tmp_path / "mart")
+    marks = customer_report.refresh_customer_report(mart, as_sides(*star_parts), {})
     late = dt.datetime(2024, 3, 1)
     more = spark.createDataFrame(
         [(7, 3, 20, 1, day("2024-01-20"), None, "created", late),
          (8, 1, 30, 1, day("2024-03-01"), None, "created", late)], f_order.schema,
     )
-    star = customer_report.order_star(f_order.unionByName(more), craft, customer, product)
-    customer_report.refresh_customer_report(mart, star, customer, "2024-02-01 00:00:00")
-    assert rows(mart.read()) == rows(customer_report.customer_report(star, customer))
+    parts = f_order.unionByName(more), craft, customer, product
+    star = customer_report.order_star(*parts)
+    marks = customer_report.refresh_customer_report(mart, as_sides(*parts), marks)
+    want = schemas.conform(
+        customer_report.customer_report(star, customer), "customer_report_datamart"
+    )
+    assert rows(mart.read()) == rows(want.select(*mart.read().columns))
     january = mart.read().where("customer_id = 1 AND report_period = '2024-01'").first()
     assert (january["total_order_count"], january["top_craftsman_id"]) == (5, 20)
+    assert marks["f_order"] == "2024-03-01 00:00:00"
+
+
+def monthly_fact(spark, path, f_order):
+    schema = T.StructType([*f_order.schema.fields, T.StructField("report_month", T.DateType())])
+    return Table(spark, str(path), schema, ["report_month"])
+
+
+def restamped(dim, key, value, moment, **columns):
+    """One member of a dimension changed by a later load."""
+    hit = F.col(key) == value
+    new = {"load_dttm": F.lit(moment).cast("timestamp_ntz"), **columns}
+    return dim.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in new.items()})
+
+
+def test_report_follows_a_change_of_any_side(spark, star_parts, tmp_path, rows):
+    f_order, craft, customer, product = star_parts
+    mart = report_mart(spark, tmp_path / "mart")
+    marks = customer_report.refresh_customer_report(mart, as_sides(*star_parts), {})
+    # The product's load is older than the customer's: each side has a mark of its own.
+    customer = restamped(customer, "customer_id", 2, "2024-05-01", customer_name=F.lit("new"))
+    marks = customer_report.refresh_customer_report(
+        mart, as_sides(f_order, craft, customer, product), marks
+    )
+    product = restamped(
+        product, "product_id", 2, "2024-04-01", product_price=F.lit("30.00").cast("decimal(18,2)")
+    )
+    parts = f_order, craft, customer, product
+    marks = customer_report.refresh_customer_report(mart, as_sides(*parts), marks)
+    want = customer_report.customer_report(customer_report.order_star(*parts), customer)
+    assert rows(mart.read()) == rows(want.select(*mart.read().columns))
+    assert mart.read().where("customer_name = 'new'").count() > 0
+    assert marks["d_customer"] == "2024-05-01 00:00:00"
+    assert marks["d_product"] == "2024-04-01 00:00:00"
+
+
+def test_touched_months_are_those_of_the_changes(spark, star_parts, rows):
+    f_order, craft, customer, product = star_parts
+    sides = as_sides(*star_parts)
+    marks = customer_report.newest_loads(sides)
+    assert customer_report.touched_months(sides, marks, marks) is None
+    craft = restamped(craft, "craftsman_id", 30, "2024-05-01")
+    sides = as_sides(f_order, craft, customer, product)
+    found = customer_report.touched_months(sides, marks, customer_report.newest_loads(sides))
+    of_craftsman = f_order.where("craftsman_id = 30").select(
+        "customer_id", F.trunc("order_created_date", "month").alias("report_month")
+    )
+    assert rows(found) == rows(of_craftsman.distinct())
+
+
+def test_rows_that_land_during_a_refresh_are_found_by_the_next(spark, star_parts, tmp_path, rows):
+    f_order, craft, customer, product = star_parts
+    fact = monthly_fact(spark, tmp_path / "fact", f_order)
+    month = F.trunc("order_created_date", "month")
+    fact.append(f_order.withColumn("report_month", month))
+    mart = report_mart(spark, tmp_path / "mart")
+    sides = as_sides(fact.read(), craft, customer, product)
+    late = spark.createDataFrame(
+        [(9, 1, 10, 2, day("2024-02-02"), None, "created", dt.datetime(2024, 6, 1))],
+        f_order.schema,
+    )
+    # Landed after the sides were read and before the refresh has ended.
+    fact.append(late.withColumn("report_month", month))
+    marks = customer_report.refresh_customer_report(mart, sides, {})
+    assert marks["f_order"] < "2024-06-01"
+    sides = as_sides(fact.read(), craft, customer, product)
+    marks = customer_report.refresh_customer_report(mart, sides, marks)
+    star = customer_report.order_star(fact.read(), craft, customer, product)
+    want = customer_report.customer_report(star, customer)
+    assert rows(mart.read()) == rows(want.select(*mart.read().columns))
+
+
+def test_refresh_reads_the_touched_partitions_only(spark, star_parts, tmp_path):
+    f_order, craft, customer, product = star_parts
+    fact = monthly_fact(spark, tmp_path / "fact", f_order)
+    fact.append(f_order.withColumn("report_month", F.trunc("order_created_date", "month")))
+    sides = as_sides(fact.read(), craft, customer, product)
+    touched = spark.createDataFrame([(1, day("2024-01-01"))], "customer_id BIGINT, report_month DATE")
+    star = customer_report.touched_star(sides, touched)
+    plan = star._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("report_month" in f.split("PartitionFilters:")[1].split("]")[0] for f in filters)
+    assert star.count() == 4
 
 
 def test_probe_counts_the_fan_out(star, star_parts, rows):
