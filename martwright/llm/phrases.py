@@ -41,6 +41,8 @@ GATHERED, REMEMBERED = 1 << 23, 1 << 19
 #: Bits of the map of frequent phrases: 64 for each of them, between these bounds (16 MiB).
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 SEED = 42
+#: Bits by which the hash of a phrase is rotated when a word follows.
+TURN = 21
 
 
 class Triggers(dict):
@@ -102,13 +104,23 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     return parsed.groupBy("lang", "chunk", "own").agg(F.count("*").alias("freq"))
 
 
-def _met(names: pa.Array, phrases: pa.Array, bits: int, table: np.ndarray) -> np.ndarray:
-    """Which phrases the bit map has."""
+def _hashes(names: pa.Array, words: pa.Array) -> np.ndarray:
+    """The hash of each word of a language, as :func:`bit_map` has it."""
     import xxhash
 
     hash_of = xxhash.xxh64_intdigest
-    keys = pc.binary_join_element_wise(names, phrases, "\n").cast(pa.binary()).to_pylist()
-    at = np.fromiter((hash_of(k, SEED) & (bits - 1) for k in keys), np.int64, len(keys))
+    keys = pc.binary_join_element_wise(names, words, "\n").cast(pa.binary()).to_pylist()
+    return np.fromiter((hash_of(k, SEED) for k in keys), np.uint64, len(keys))
+
+
+def _chained(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hashes of phrases that go on by a word: the old hash rotated, and that of the word."""
+    return (phrase << np.uint64(TURN) | phrase >> np.uint64(64 - TURN)) ^ word
+
+
+def _met(hashed: np.ndarray, bits: int, table: np.ndarray) -> np.ndarray:
+    """Which hashes the bit map has."""
+    at = (hashed & np.uint64(bits - 1)).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -116,7 +128,8 @@ def weighted(entries: pa.Table, size: int, maps: list[tuple[int, np.ndarray]]) -
     """Counts (lang, phrase, f) of the phrases of ``size`` words in dictionary entries.
 
     ``maps`` has the frequent phrases of one word, two and so on; phrases grow word by word, and only
-    where the two shorter ones that they consist of are in the map.
+    where the two shorter ones that they consist of are in the map. Until they are counted they are
+    numbers: those of their words, and a hash.
     """
     entries = entries.combine_chunks()
     languages = entries["lang"].combine_chunks().dictionary_encode()
@@ -130,22 +143,25 @@ def weighted(entries: pa.Table, size: int, maps: list[tuple[int, np.ndarray]]) -
     keys = languages.indices.to_numpy().astype(np.int64)[row] * different + tokens.indices.to_numpy()
     unique, word = np.unique(keys, return_inverse=True)
     names = languages.dictionary.take(pa.array(unique // different))
-    words = phrases = tokens.dictionary.take(pa.array(unique % different))
+    words = tokens.dictionary.take(pa.array(unique % different))
+    parts = [np.arange(len(words))]
+    of_words = hashed = _hashes(names, words) if size > 1 else None
     index, valid = word, np.ones(len(row), bool)
     for shorter, (bits, table) in enumerate(maps[: size - 1], 1):
         good = np.zeros(len(row), bool)
-        good[valid] = _met(names, phrases, bits, table)[index[valid]]
+        good[valid] = _met(hashed, bits, table)[index[valid]]
         at = np.flatnonzero(good[:-1] & good[1:] & (left[:-1] > shorter))
         unique, found = np.unique(index[at] * len(words) + word[at + shorter], return_inverse=True)
-        begin = pa.array(unique // len(words))
-        names = names.take(begin)
-        phrases = pc.binary_join_element_wise(phrases.take(begin), words.take(pa.array(unique % len(words))), " ")
+        begin, end = np.divmod(unique, max(len(words), 1))
+        parts = [*(part[begin] for part in parts), end]
+        hashed = _chained(hashed[begin], of_words[end])
         index, valid = np.zeros(len(row), np.int64), np.zeros(len(row), bool)
         index[at], valid[at] = found, True
     at = np.flatnonzero(valid & (place < entries["own"].to_numpy()[row]))
-    counts = np.bincount(index[at], entries["freq"].to_numpy()[row[at]], len(phrases)).astype(np.int64)
-    some = pa.array(np.flatnonzero(counts))
-    return pa.record_batch([names.take(some), phrases.take(some), pa.array(counts).take(some)], ["lang", "phrase", "f"])
+    counts = np.bincount(index[at], entries["freq"].to_numpy()[row[at]], len(parts[0])).astype(np.int64)
+    some = np.flatnonzero(counts)
+    phrases = pc.binary_join_element_wise(*(words.take(pa.array(part[some])) for part in parts), " ")
+    return pa.record_batch([names.take(pa.array(parts[0][some])), phrases, pa.array(counts[some])], ["lang", "phrase", "f"])
 
 
 def grams(entries: DataFrame, size: int, maps: list[tuple[int, Broadcast]]) -> DataFrame:
@@ -171,12 +187,15 @@ def grams(entries: DataFrame, size: int, maps: list[tuple[int, Broadcast]]) -> D
 
 
 def bit_map(frequent: DataFrame) -> tuple[int, bytes]:
-    """(number of bits, bits) of the hashes of (lang, phrase); at most ``MOST_BITS`` whatever their number."""
+    """(number of bits, bits) of the hashes of phrases, chained from those of their words; at most ``MOST_BITS`` whatever their number."""
     bits = LEAST_BITS
     wanted = min(64 * frequent.count(), MOST_BITS)
     while bits < wanted:
         bits *= 2
-    place = F.xxhash64(F.concat("lang", F.lit("\n"), "phrase")).bitwiseAND(F.lit(bits - 1))
+    of_words = F.transform(F.split("phrase", " "), lambda word: F.xxhash64(F.concat("lang", F.lit("\n"), word)))
+    turned = lambda h: F.shiftleft(h, TURN).bitwiseOR(F.shiftrightunsigned(h, 64 - TURN))
+    hashed = F.aggregate(of_words, F.lit(0).cast("long"), lambda h, word: turned(h).bitwiseXOR(word))
+    place = hashed.bitwiseAND(F.lit(bits - 1))
     # Spark counts the places of its bit maps from one, in buckets of 32768.
     maps = (
         frequent.select((place + 1).alias("place"))
