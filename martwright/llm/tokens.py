@@ -7,10 +7,13 @@ string is one token, as the .json file has it.
 A text of more than ``chunk`` characters is encoded piece by piece. Each piece starts ``overlap``
 characters before the end of the one before, and both encodings carry offsets. They are spliced at a
 position in the overlap where both have a token boundary and where the pattern is proven to start a
-new word whatever surrounds it: at a single space between two visible characters, between letters
-and digits, or after a visible character that is neither (nor an apostrophe) before a letter or
-digit; never inside or next to a special string. If an overlap holds no such position it is widened,
-at last to the whole rest of the chunk before, and then the two chunks are encoded as one.
+new word whatever surrounds it: at the first white space after a visible character, at the last blank
+of a run before one, at a visible character after a line break, tab or any white space but the blank,
+between letters and digits, or after a visible character that is neither (nor an apostrophe) before a
+letter or digit; never inside or next to a special string. If an overlap holds no such position it is
+widened, at last to the whole rest of the chunk before. If that holds none either, the two chunks are
+encoded as one and the next is as long as both, so that a text without any splice is encoded a
+bounded number of times.
 
 Defined results: null texts are empty and have no tokens; a null key stays null; repeated rows get
 equal counts; an empty table gives no rows.
@@ -57,9 +60,19 @@ def encode(text: str, ranks: str = RANKS) -> np.ndarray:
     return encoding(ranks)[0].encode_to_numpy(text, allowed_special="all")
 
 
+# Unicode's white space.
+BLANKS = frozenset(
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def _kind(c: str) -> str:
-    if c.isspace():
+    if c in BLANKS:
         return "s"
+    if c.isspace():
+        # Separators that some libraries take for white space and others do not.
+        return "?"
     major = unicodedata.category(c)[0]
     return major if major in "LN" else "'" if c == "'" else "o"
 
@@ -72,8 +85,14 @@ def proven(text: str, p: int) -> bool:
     if END in near:
         return False
     left, right = _kind(text[p - 1]), _kind(text[p])
+    if "?" in (left, right):
+        return False
+    if right == "s" and left != "s":
+        return True
     if text[p] == " ":
-        return left != "s" and p + 1 < len(text) and not text[p + 1].isspace()
+        return p + 1 < len(text) and _kind(text[p + 1]) not in ("s", "?")
+    if left == "s":
+        return right != "s" and text[p - 1] != " "
     return (left, right) in {("L", "N"), ("N", "L"), ("o", "L"), ("o", "N")}
 
 
@@ -87,10 +106,10 @@ def encode_long(text: str, chunk: int = CHUNK, overlap: int = OVERLAP, ranks: st
     if len(text) <= chunk:
         return encode(text, ranks)
     done: list[np.ndarray] = []
-    begin, end = 0, chunk
+    begin, end, step = 0, chunk, chunk
     ids = encode(text[begin:end], ranks)  # begin is always a proven start
     while end < len(text):
-        following = min(len(text), end + chunk)
+        following = min(len(text), end + step)
         reach, cut = overlap, None
         while cut is None and reach < 2 * (end - begin):
             # A special string that the chunk's end may have cut does not reach the splice.
@@ -108,12 +127,13 @@ def encode_long(text: str, chunk: int = CHUNK, overlap: int = OVERLAP, ranks: st
             reach *= 4
         if cut is None:
             end = following
+            step = end - begin
             ids = encode(text[begin:end], ranks)
             continue
         p, offset = cut
         done.append(ids[: int(np.searchsorted(old_ends, offset)) + 1])
         ids = new[int(np.searchsorted(new_ends, offset)) + 1 :]
-        begin, end = p, following
+        begin, end, step = p, following, chunk
     return np.concatenate([*done, ids])
 
 
