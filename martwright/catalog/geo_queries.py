@@ -56,6 +56,46 @@ def events_with_city_grid(spark, sf_dir):
     return _located(spark, sf_dir, max_literals=0)
 
 
+# Every city twice, the second time without an id; places of no known position; events likewise.
+_DIRTY = f"""
+WITH dirty AS (SELECT id, city, city_lat, city_lng FROM {{v_cities}}
+  UNION ALL SELECT NULL, 'nameless', city_lat, city_lng FROM {{v_cities}}
+  UNION ALL SELECT id, 'nowhere', CAST('NaN' AS DOUBLE), city_lng FROM {{v_cities}}
+  UNION ALL SELECT id, 'nowhere', city_lat, NULL FROM {{v_cities}}),
+odd AS (SELECT * REPLACE (CASE WHEN event_type = 'reaction' THEN CAST('NaN' AS DOUBLE) ELSE lat END
+  AS lat) FROM {{v_social}})
+SELECT e.event_id, e.lat, e.lon, c.id, c.city FROM odd e, dirty c
+WHERE isfinite(e.lat) AND isfinite(e.lon) AND isfinite(c.city_lat) AND isfinite(c.city_lng)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY e.event_id ORDER BY
+  2 * 6371 * asin(sqrt(pow(sin(radians(c.city_lat - e.lat) / 2), 2)
+    + cos(radians(e.lat)) * cos(radians(c.city_lat))
+    * pow(sin(radians(c.city_lng - e.lon) / 2), 2))), c.id NULLS LAST, c.city) = 1"""
+
+
+def _dirty(spark, sf_dir, **options):
+    cities = view(spark, sf_dir, "v_cities").select("id", "city", "city_lat", "city_lng")
+    nan = F.lit(float("nan"))
+    dirty = (
+        cities.unionByName(cities.withColumns({"id": F.lit(None), "city": F.lit("nameless")}))
+        .unionByName(cities.withColumns({"city": F.lit("nowhere"), "city_lat": nan}))
+        .unionByName(cities.withColumns({"city": F.lit("nowhere"), "city_lng": F.lit(None)}))
+    )
+    odd = F.when(F.col("event_type") == "reaction", nan).otherwise(F.col("lat"))
+    events = view(spark, sf_dir, "v_social").withColumn("lat", odd)
+    placed = plan.events_with_city(events, dirty, **options)
+    return placed.select("event_id", "lat", "lon", "id", "city")
+
+
+@query("events_with_city_dirty_places", _DIRTY)
+def events_with_city_dirty_places(spark, sf_dir):
+    return _dirty(spark, sf_dir)
+
+
+@query("events_with_city_dirty_places_grid", _DIRTY)
+def events_with_city_dirty_places_grid(spark, sf_dir):
+    return _dirty(spark, sf_dir, max_literals=0)
+
+
 _ZONES = "CASE city " + " ".join(
     f"WHEN '{city}' THEN '{zone}'" for city, zone in plan.CITY_ZONES.items()
 ) + " END"

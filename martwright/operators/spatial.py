@@ -18,6 +18,7 @@ KM_PER_DEGREE = math.pi * EARTH_RADIUS_KM / 180
 MAX_LITERAL_PLACES = 256
 
 _AXES = ("_x", "_y", "_z")
+_PLACE_AXES = ("_place_x", "_place_y", "_place_z")
 
 # Search radii of the grid in km; the last one spans half the globe, so no point is left over.
 SEARCH_RADII_KM = (25.0, 200.0, 1600.0, 20100.0)
@@ -122,19 +123,29 @@ def nearest(
 ) -> DataFrame:
     """Add the nearest place to every point that has coordinates.
 
-    ``places`` has ``city_lat``, ``city_lng`` and ``place_cols``, the first of
-    which breaks ties; places without coordinates take no part. Up to ``max_literals`` places the comparison is an
-    expression over literals: no join and no shuffle. Beyond it the places are
-    searched through grid joins of growing radius.
+    ``places`` has ``city_lat``, ``city_lng`` and ``place_cols``, which break ties in their order,
+    NULL last. Points and places whose coordinates are NULL, NaN or infinite take no part. Up to
+    ``max_literals`` places the comparison is an expression over literals: no join and no shuffle.
+    Beyond it the places are searched through grid joins of growing radius. Both compare the same
+    squared chords, computed by the same expressions, so that they agree to the last tie.
     """
-    located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    chosen = places.select("city_lat", "city_lng", *place_cols).dropna(subset=["city_lat", "city_lng"])
+    located = points.where(_finite(lat) & _finite(lon))
+    chosen = (
+        places.where(_finite("city_lat") & _finite("city_lng"))
+        .select("city_lat", "city_lng", *place_cols)
+        .withColumns(dict(zip(_PLACE_AXES, unit_vector(F.col("city_lat"), F.col("city_lng")))))
+    )
     known = chosen.limit(max_literals + 1).collect()
     if known and len(known) <= max_literals:
         return _nearest_literal(located, known, chosen, list(place_cols), lat, lon)
     return _nearest_grid(located, chosen, list(place_cols), lat, lon)
 
 
+def _finite(column: str) -> Column:
+    """Whether a coordinate is a number: neither NULL nor NaN nor infinite."""
+    return F.abs(F.col(column).cast("double")) < F.lit(math.inf)
+
+
 def _literal(value, kind: str) -> str:
     """SQL literal of a value of a simple type."""
     if value is None:
@@ -149,15 +160,11 @@ def _nearest_literal(located, known, chosen, place_cols, lat, lon) -> DataFrame:
     The chords are an array of plain doubles, which generated code fills
     without allocating objects per candidate. They are given as SQL text:
     building a few hundred nodes one call at a time would take longer than a
-    small query. Places are ordered by their first label, which breaks ties.
+    small query. Places are ordered by their labels, which break ties.
     """
     kinds = {f.name: f.dataType.simpleString() for f in chosen.schema.fields}
-    ordered = sorted(known, key=lambda place: (place[place_cols[0]] is None, place[place_cols[0]]))
-    chords = []
-    for place in ordered:
-        spot = _unit_vector(place["city_lat"], place["city_lng"])
-        terms = [f"({axis} - ({v!r}D)) * ({axis} - ({v!r}D))" for axis, v in zip(_AXES, spot)]
-        chords.append(" + ".join(terms))
+    ordered = sorted(known, key=lambda place: [_last_if_none(place[c]) for c in place_cols])
+    chords = [_chord_sql([f"({place[axis]!r}D)" for axis in _PLACE_AXES]) for place in ordered]
     labels = {
         c: F.expr(f"ELEMENT_AT(ARRAY({', '.join(_literal(p[c], kinds[c]) for p in ordered)}), _at)")
         for c in place_cols
@@ -170,18 +177,24 @@ def _nearest_literal(located, known, chosen, place_cols, lat, lon) -> DataFrame:
     )
 
 
-def _unit_vector(lat: float, lon: float) -> tuple[float, float, float]:
-    phi, lam = math.radians(lat), math.radians(lon)
-    return math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
+def _chord_sql(place: Sequence[str]) -> str:
+    """Squared chord from a point's axes to those of a place, given as SQL."""
+    return " + ".join(f"({axis} - {v}) * ({axis} - {v})" for axis, v in zip(_AXES, place))
+
+
+def _last_if_none(label) -> tuple:
+    if isinstance(label, str):
+        label = label.encode()  # strings compare by their bytes, as in Spark
+    return (label is None, label if label is not None else 0)
 
 
 def _nearest_grid(located, places, place_cols, lat, lon) -> DataFrame:
     """Search each distinct coordinate in cells of growing size until a place is in reach."""
     spots = located.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
-    rank = F.struct(
-        haversine(F.col("_lat"), F.col("_lon"), F.col("city_lat"), F.col("city_lng")).alias("_km"),
-        *place_cols,
-    )
+    spots = spots.withColumns(dict(zip(_AXES, unit_vector(F.col("_lat"), F.col("_lon")))))
+    labels = [part for c in place_cols for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    rank = F.struct(F.expr(_chord_sql(_PLACE_AXES)).alias("_chord"), *labels)
+    km = F.asin(F.least(F.lit(1.0), F.sqrt("_best._chord") / 2)) * (2 * EARTH_RADIUS_KM)
     found = None
     pending = spots
     for radius in SEARCH_RADII_KM:
@@ -189,14 +202,14 @@ def _nearest_grid(located, places, place_cols, lat, lon) -> DataFrame:
         best = (
             with_neighbour_cells(pending, "_lat", "_lon", radius)
             .join(cells, ["_band", "_cell"], "left")
-            .groupBy("_lat", "_lon")
+            .groupBy("_lat", "_lon", *_AXES)
             .agg(F.min(F.when(F.col("city_lat").isNotNull(), rank)).alias("_best"))
         )
         # A hit outside the radius may have a closer rival in a cell not looked at.
-        tried = cut_lineage(best.withColumn("_done", F.col("_best._km") <= radius))
+        tried = cut_lineage(best.withColumn("_done", km <= radius))
         hits = tried.where(F.col("_done")).drop("_done")
         found = hits if found is None else found.unionByName(hits)
-        pending = tried.where(~F.coalesce("_done", F.lit(False))).select("_lat", "_lon")
+        pending = tried.where(~F.coalesce("_done", F.lit(False))).select("_lat", "_lon", *_AXES)
     matched = found.select("_lat", "_lon", *[F.col(f"_best.{c}").alias(c) for c in place_cols])
     joined = located.join(
         matched, (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon")), "inner"

@@ -143,6 +143,31 @@ def test_nearest_breaks_ties_by_first_column(spark, rows):
         assert rows(nearest(events, cities, ["id"], max_literals=limit), "id") == [("a",)]
 
 
+@pytest.mark.parametrize("max_literals", [0, 256])
+def test_nearest_of_dirty_places(spark, rows, max_literals):
+    nan, inf = float("nan"), float("inf")
+    points = [(1, 0.0, 0.0), (2, nan, 0.0), (3, 0.0, inf), (4, None, 0.0), (5, 89.999, 10.0), (6, -90.0, 77.0)]
+    places = [(None, "x", 0.0, 1.0), ("b", "z", 0.0, -1.0), ("b", "y", 0.0, -1.0), ("a", "n", nan, 0.0),
+              ("a", "i", 0.0, -inf), ("a", "u", None, 0.0), ("p", None, 90.0, 0.0), ("p", "pole", 90.0, -120.0)]
+    events = spark.createDataFrame(points, "e INT, lat DOUBLE, lon DOUBLE")
+    cities = spark.createDataFrame(places, "id STRING, city STRING, city_lat DOUBLE, city_lng DOUBLE")
+    found = nearest(events, cities, ["id", "city"], max_literals=max_literals)
+    near = {r.e: (r.id, r.city) for r in found.collect()}
+    assert near[1] == ("b", "y") and near[5][0] == "p" and set(near) == {1, 5, 6}
+
+
+def test_both_ways_to_the_nearest_place_agree_on_every_tie(spark, rows):
+    # On a lattice many places are equally far up to rounding; labels come in no order.
+    rng = random.Random(9)
+    lattice = [(lat, lon) for lat in range(-90, 91, 15) for lon in range(-180, 181, 30)]
+    places = [(rng.choice([None, "a", "b", "c"]), f"n{rng.randrange(9)}", float(a), float(b)) for a, b in lattice]
+    points = [(i, float(a) + 7.5, float(b) + 15) for i, (a, b) in enumerate(lattice)]
+    events = spark.createDataFrame(points, "e INT, lat DOUBLE, lon DOUBLE").where("lat <= 90")
+    cities = spark.createDataFrame(places, "id STRING, city STRING, city_lat DOUBLE, city_lng DOUBLE")
+    ways = [nearest(events, cities, ["id", "city"], max_literals=n) for n in (0, 256)]
+    assert rows(ways[0]) == rows(ways[1])
+
+
 def _runs(events):
     """Brute-force islands: (user, island, city, messages)."""
     found = []
