@@ -71,6 +71,36 @@ def courier_report_min_payment(spark, sf_dir):
     return plan.courier_report(*_star(spark, sf_dir), min_payment=True)
 
 
+# The tier table after a raise: the lowest tier is split, two others pay more.
+_TIER_ROWS = """(VALUES (-1.0, 3.5, 0.05, 100), (3.5, 4.0, 0.06, 120), (4.0, 4.5, 0.09, 165),
+  (4.5, 4.9, 0.08, 175), (4.9, 10.0, 0.12, 230)) t(low, above, share, least)"""
+
+_TIERED = _REPORT.format(
+    months=f"""SELECT b.*, paid FROM ({_MONTHS}) b JOIN (
+    SELECT courier_id, EXTRACT(YEAR FROM delivery_ts) AS y, EXTRACT(MONTH FROM delivery_ts) AS m,
+      SUM(GREATEST(delivery_sum * CAST(share AS DECIMAL(3,2)), least)) AS paid
+    FROM {{v_deliveries}}, {_TIER_ROWS} GROUP BY courier_id, y, m, low, above
+    HAVING SUM(rate) >= low * COUNT(rate) AND SUM(rate) < above * COUNT(rate)) p
+  ON p.courier_id = b.courier_id AND y = settlement_year AND p.m = settlement_month""",
+    earned="CAST(paid AS DECIMAL(22,4))",
+)
+
+
+@query("courier_report_tier_table", _TIERED)
+def courier_report_tier_table(spark, sf_dir):
+    """Least payments by the stored tier table, after its rows have been changed by upserts."""
+    tiers = Table(
+        spark, scratch(spark, "courier_rating"), schemas.SCHEMAS["dm_courier_rating"]
+    )
+    tiers.refresh(plan.rating_tiers(spark))
+    raised = spark.sql(
+        """SELECT * FROM VALUES (0.00, 3.49, 5, 100), (3.50, 3.99, 6, 120), (4.00, 4.49, 9, 165),
+        (4.90, 5.00, 12, 230) AS t(min_rating, max_rating, percent_rate, min_payment)"""
+    )
+    tiers.upsert(raised, ["min_rating"])
+    return plan.courier_report(*_star(spark, sf_dir), min_payment=True, tiers=tiers.read())
+
+
 @query(
     "courier_report_refresh",
     "SELECT courier_id, settlement_year, settlement_month, orders_count, orders_total_sum "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,26 @@ def rating_tiers(spark) -> DataFrame:
     return spark.createDataFrame(rows, schemas.SCHEMAS["dm_courier_rating"])
 
 
+def tiers_in_order(tiers: DataFrame | None = None) -> list[tuple[Decimal, Decimal, int, int]]:
+    """Rows of a tier table from the lowest rating upwards; the fixed ones if none is given.
+
+    Ratings have three digits and tiers may not overlap, so there are at most a thousand of them:
+    few enough to be part of a plan. A table with a NULL, with a tier that ends before it begins or
+    with two that overlap is refused, as one without rows is.
+    """
+    if tiers is None:
+        return [(Decimal(low), Decimal(high), share, least) for low, high, share, least in RATING_TIERS]
+    names = schemas.SCHEMAS["dm_courier_rating"].names
+    known = schemas.conform(tiers, "dm_courier_rating").select(*names)
+    rows = [tuple(row) for row in known.orderBy("min_rating", "max_rating").limit(1001).collect()]
+    if not rows or any(None in row for row in rows):
+        raise ValueError("a tier table has rows, and no NULL in them")
+    for (low, high, *_), following in zip(rows, [*rows[1:], None]):
+        if high < low or (following and following[0] <= high):
+            raise ValueError(f"tier {low} to {high} is empty or overlaps the next one")
+    return rows
+
+
 def stage_documents(rows: DataFrame, id_col: str) -> DataFrame:
     """Natural id and the whole row as a JSON document."""
     return rows.select(
@@ -124,9 +145,14 @@ def load_facts(facts: DataFrame, target: Table) -> None:
 # -- report -----------------------------------------------------------------
 
 
-def _by_tier(rate_sum: Column, rate_count: Column, values: list[Column]) -> Column:
-    """Value of the tier that the mean rating falls in, compared without division."""
-    bounds = [Decimal(low) for low, *_ in RATING_TIERS[1:]]
+def _by_tier(
+    rate_sum: Column, rate_count: Column, tiers: Sequence[tuple], values: list[Column]
+) -> Column:
+    """Value of the tier that the mean rating falls in, compared without division.
+
+    A mean between two tiers belongs to the lower one, one below all of them to the lowest.
+    """
+    bounds = [low for low, *_ in tiers[1:]]
     chosen = values[-1]
     for bound, value in reversed(list(zip(bounds, values))):
         chosen = F.when(rate_sum < rate_count * F.lit(bound), value).otherwise(chosen)
@@ -138,6 +164,7 @@ def courier_report(
     deliveries: DataFrame,
     couriers: DataFrame,
     min_payment: bool = False,
+    tiers: DataFrame | None = None,
 ) -> DataFrame:
     """Monthly settlement per courier.
 
@@ -145,19 +172,19 @@ def courier_report(
     courier's tier. The tier is known only after the month is summed up, so
     each tier's pay is summed on the way and the right one is picked at the
     end: still a single aggregation. Courier names are joined to the totals,
-    not to the deliveries.
+    not to the deliveries. ``tiers`` are the rows of ``dm_courier_rating`` as they are now.
     """
     dated = facts.join(
         deliveries.select(F.col("id").alias("delivery_id"), "delivery_ts", "order_id"),
         "delivery_id",
     )
-    tiers = range(len(RATING_TIERS))
-    shares = [F.lit(Decimal(t[2]).scaleb(-2)) for t in RATING_TIERS]
-    least = [F.lit(t[3]) for t in RATING_TIERS]
+    steps = tiers_in_order(tiers)
+    shares = [F.lit(Decimal(share).scaleb(-2)).cast("decimal(3,2)") for _, _, share, _ in steps]
+    least = [F.lit(least) for *_, least in steps]
     amount = F.col("delivery_sum").cast("decimal(18,2)")
     pay = [
         F.sum(F.greatest(amount * shares[i], least[i])).alias(f"_pay{i}")
-        for i in tiers
+        for i in range(len(steps))
     ]
     month = dated.groupBy(
         "courier_id",
@@ -175,9 +202,11 @@ def courier_report(
     )
     rates = F.col("_rate_sum"), F.col("_rate_count")
     if min_payment:
-        earned = _by_tier(*rates, [F.col(f"_pay{i}").cast("decimal(22,4)") for i in tiers])
+        earned = _by_tier(
+            *rates, steps, [F.col(f"_pay{i}").cast("decimal(22,4)") for i in range(len(steps))]
+        )
     else:
-        earned = F.col("orders_total_sum") * _by_tier(*rates, shares)
+        earned = F.col("orders_total_sum") * _by_tier(*rates, steps, shares)
     total, tips = F.col("orders_total_sum"), F.col("courier_tips_sum")
     report = (
         month.join(

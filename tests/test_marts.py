@@ -277,6 +277,45 @@ def test_courier_tiers_at_their_bounds(spark, rates, percent):
 
 def test_rating_tiers_table(spark):
     assert couriers.rating_tiers(spark).count() == 4
+    assert couriers.tiers_in_order(couriers.rating_tiers(spark)) == couriers.tiers_in_order()
+
+
+def tier_table(spark, *rows):
+    return spark.createDataFrame(
+        [tuple(None if v is None else D(v) for v in row[:2]) + row[2:] for row in rows],
+        schemas.SCHEMAS["dm_courier_rating"],
+    )
+
+
+@pytest.mark.parametrize("tiers", [
+    [],
+    [("0.00", "4.00", 5, 100), ("4.00", "5.00", 7, 150)],
+    [("0.00", "5.00", 5, 100), ("1.00", "2.00", 7, 150)],
+    [("3.00", "2.00", 5, 100)],
+    [("0.00", None, 5, 100)],
+    [("0.00", "5.00", 5, None)],
+])
+def test_tier_tables_that_leave_the_pay_open_are_refused(spark, tiers):
+    with pytest.raises(ValueError):
+        couriers.tiers_in_order(tier_table(spark, *tiers))
+
+
+@pytest.mark.parametrize("rate,pay", [(1, 30), (2, 30), (3, 30), (4, 60), (5, 60), (None, 60)])
+def test_courier_pay_follows_the_tier_table(spark, rate, pay):
+    facts = spark.createDataFrame(
+        [(1, 1, rate, D("100.00"), D("0.00"))],
+        "courier_id BIGINT, delivery_id BIGINT, rate INT, delivery_sum DECIMAL(18,2), "
+        "tip_sum DECIMAL(14,2)",
+    )
+    deliveries = facts.select(
+        F.col("delivery_id").alias("id"), F.col("delivery_id").alias("order_id"),
+        F.lit("2024-05-06 07:08:09").cast("timestamp_ntz").alias("delivery_ts"),
+    )
+    people = spark.createDataFrame([(1, "Ann")], "id BIGINT, name STRING")
+    # Below the lowest tier, between the two and above the highest there is pay too.
+    tiers = tier_table(spark, ("4.00", "4.50", 60, 10), ("2.00", "2.50", 30, 10))
+    report = couriers.courier_report(facts, deliveries, people, tiers=tiers)
+    assert report.first()["courier_order_sum"] == pay
 
 
 # -- group vault ------------------------------------------------------------
