@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.workspace import cut_lineage
+
 
 def _order(order: Sequence[str | Column]) -> Column:
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
@@ -52,15 +54,30 @@ def leaders(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     )
 
 
-def global_dense_rank(df: DataFrame, measure: str, alias: str) -> DataFrame:
+def global_dense_rank(df: DataFrame, measure: str, alias: str, kind: str = "int") -> DataFrame:
     """``dense_rank() OVER (ORDER BY measure DESC)`` without sorting all rows in one task.
 
-    Only the distinct values of ``measure`` are ranked; the ranks are joined back.
+    The distinct values of ``measure`` are dealt to tasks by ranges and written with the number of
+    their range. A value's rank is its place in its range, moved on by the values of the ranges
+    above it; one row per range is all that a single task ever orders. NULL ranks last. The ranks
+    are joined back; written, they have a known size, so that few of them are broadcast, also when
+    one value has most of the rows.
     """
-    values = df.select(measure).distinct()
-    ranks = values.withColumn(
-        alias, F.dense_rank().over(Window.orderBy(F.col(measure).desc_nulls_last()))
-    ).withColumnRenamed(measure, "_value")
+    falling = F.col("_value").desc_nulls_last()
+    values = df.select(F.col(measure).alias("_value")).distinct()
+    dealt = cut_lineage(values.repartitionByRange(falling).withColumn("_range", F.spark_partition_id()))
+    above = Window.orderBy(falling).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        dealt.groupBy("_range")
+        .agg(F.max("_value").alias("_value"), F.count(F.lit(1)).alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(falling))
+    ranks = cut_lineage(
+        dealt.withColumn("_place", place)
+        .join(offsets, "_range")
+        .select("_value", (F.col("_above") + F.col("_place")).cast(kind).alias(alias))
+    )
     return df.join(ranks, F.col(measure).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 

@@ -3,6 +3,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martwright.functions import haversine
@@ -46,6 +47,34 @@ def test_global_dense_rank(spark, rows):
     assert rows(ranked, "k", "r") == [("a", 1), ("b", 1), ("c", 2), ("d", 3)]
 
 
+@pytest.mark.parametrize("values", [
+    [None, None], [], [7.0] * 900 + [3.0, None], [float("nan"), float("inf"), -0.0, 0.0, None],
+    [float(i % 701) for i in range(3000)] + [None] * 5,
+])
+def test_global_dense_rank_equals_one_window(spark, rows, values):
+    frame = spark.createDataFrame(list(enumerate(values)), "k INT, n DOUBLE").repartition(5)
+    ranked = pick.global_dense_rank(frame, "n", "r", "bigint")
+    window = Window.orderBy(F.col("n").desc_nulls_last())
+    want = frame.withColumn("r", F.dense_rank().over(window).cast("bigint"))
+    assert rows(ranked, "k", "r") == rows(want, "k", "r")
+    assert ranked.schema["r"].dataType.simpleString() == "bigint"
+
+
+def test_global_dense_rank_keeps_values_apart(spark):
+    """With many values there are several ranges, and no window sees more than one of them."""
+    frame = spark.range(200000).selectExpr("id", "id * 7 % 200003 AS n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = pick.global_dense_rank(frame, "n", "r")
+        greatest = frame.agg(F.max("n")).first()[0]
+        assert ranked.agg(F.min("r"), F.max("r"), F.countDistinct("r")).first() == (1, 200000, 200000)
+        assert ranked.where(F.col("r") == 1).first()["n"] == greatest
+        order = ranked.orderBy("r").select("n").toPandas()["n"]
+        assert order.is_monotonic_decreasing
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize(
     "values, expected",
     [([1], [(2,)]), ([1, None], []), ([], [(1,), (2,), (None,)])],
