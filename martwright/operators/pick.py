@@ -60,8 +60,7 @@ def global_dense_rank(df: DataFrame, measure: str, alias: str, kind: str = "int"
     The distinct values of ``measure`` are dealt to tasks by ranges and written with the number of
     their range. A value's rank is its place in its range, moved on by the values of the ranges
     above it; one row per range is all that a single task ever orders. NULL ranks last. The ranks
-    are joined back; written, they have a known size, so that few of them are broadcast, also when
-    one value has most of the rows.
+    are joined back. ``df`` is read twice: give it stored if it is the result of much work.
     """
     falling = F.col("_value").desc_nulls_last()
     values = df.select(F.col(measure).alias("_value")).distinct()
@@ -73,7 +72,7 @@ def global_dense_rank(df: DataFrame, measure: str, alias: str, kind: str = "int"
         .select("_range", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
     )
     place = F.row_number().over(Window.partitionBy("_range").orderBy(falling))
-    ranks = cut_lineage(
+    ranks = (
         dealt.withColumn("_place", place)
         .join(offsets, "_range")
         .select("_value", (F.col("_above") + F.col("_place")).cast(kind).alias(alias))
