@@ -227,6 +227,33 @@ def zones_validation(spark, sf_dir):
     return plan.validate_zones(plan.zones_mart(_located(spark, sf_dir)))
 
 
+# Every third week of a zone loses its messages to a faulty load, every fifth gains registrations.
+_FAULTY = f"""SELECT zone_id, year, month, week, month_message_cnt,
+  CASE WHEN (week + CAST(zone_id AS INT)) % 3 = 0 THEN 0 ELSE week_message_cnt END AS week_message_cnt,
+  CASE WHEN (week + CAST(zone_id AS INT)) % 5 = 0 THEN week_reg_cnt + 1000000 ELSE week_reg_cnt END AS week_reg_cnt
+FROM ({_ZONES_MART}) m"""
+
+
+@query(
+    "zones_validation_faulty",
+    f"""
+WITH z AS ({_FAULTY})
+SELECT 'month_sum' AS "check", zone_id, year, month, CAST(NULL AS INT) AS week,
+  CAST(SUM(week_message_cnt) AS BIGINT) AS found, MAX(month_message_cnt) AS expected
+FROM z GROUP BY zone_id, year, month HAVING SUM(week_message_cnt) <> MAX(month_message_cnt)
+UNION ALL SELECT 'registrations', zone_id, year, month, week, week_reg_cnt, week_message_cnt
+FROM z WHERE week_reg_cnt > week_message_cnt""",
+)
+def zones_validation_faulty(spark, sf_dir):
+    """The checks of the zones mart over a mart that breaks both rules."""
+    turn = F.col("week") + F.col("zone_id").cast("int")
+    mart = plan.zones_mart(_located(spark, sf_dir))
+    faulty = mart.withColumn(
+        "week_message_cnt", F.when(turn % 3 == 0, F.lit(0)).otherwise(F.col("week_message_cnt")).cast("bigint")
+    ).withColumn("week_reg_cnt", F.col("week_reg_cnt") + F.when(turn % 5 == 0, 1000000).otherwise(0))
+    return plan.validate_zones(faulty)
+
+
 _FRIENDS = f"""
 WITH {_LOCATED},
 members AS (SELECT DISTINCT message_group, message_from FROM msg WHERE message_group IS NOT NULL),

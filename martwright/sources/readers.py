@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import functools
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +14,12 @@ from pyspark.sql import types as T
 
 from martwright.functions import decimal_comma
 from martwright.operators.pick import dedupe
+from martwright.operators.tables import Table
 from martwright.operators.workspace import cut_lineage
 
 CORRUPT = "_corrupt"
+#: Layout of a table of rejected rows.
+REJECTS = "path STRING, rejected STRING"
 
 
 def days_back(date: str, depth: int) -> list[str]:
@@ -42,6 +48,28 @@ class RejectLimitError(ValueError):
     """A bulk load has more rejected rows than allowed."""
 
 
+def layouts(spark: SparkSession, path: str, sep: str = ",", quote: str = '"') -> dict[tuple[str, ...], list[str]]:
+    """The header lines that occur below ``path``, each with its files; names in lower case.
+
+    A file's first line that is not blank is its header. One line per file comes to the driver, which
+    lists the files for every read as well.
+    """
+    first = (
+        spark.read.text(path)
+        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .where("file_block_start = 0 AND trim(value) != ''")
+        .withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file_path")
+        .agg(F.min_by("value", "at").alias("line"))
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file_path").collect():
+        fields = next(csv.reader([row["line"].lstrip("\ufeff")], delimiter=sep, quotechar=quote))
+        names = tuple(name.strip().lower() for name in fields)
+        found.setdefault(names, []).append(unquote(row["file_path"]))
+    return found
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -52,19 +80,21 @@ def read_delimited(
     null_value: str = "",
     reject_max: int | None = None,
     multi_line: bool = False,
+    rejects: Table | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` rows of delimited files.
 
-    Rows that do not fit the schema are rejected with their text. With
-    ``reject_max`` the load fails when more rows than that are rejected. The
-    parsed rows are written once to the shared folder, so counting the rejects
-    does not parse the files again. A quote inside quoted text is doubled;
-    ``multi_line`` is for quoted texts that hold line breaks.
+    With ``header`` each file's columns go by the names in its first line, in any order and case:
+    columns that a file lacks are NULL, others than those of ``schema`` are left out. Without it they
+    go by position. Rows that do not fit are rejected with their text. With ``reject_max`` the load
+    fails when more rows than that are rejected; ``rejects``, a table of layout ``REJECTS``, keeps them
+    before that. The parsed rows are written once to the shared folder, so counting the rejects does
+    not parse the files again. A quote inside quoted text is doubled; ``multi_line`` is for quoted
+    texts that hold line breaks.
     """
-    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = (
-        spark.read.schema(wanted)
-        .option("mode", "PERMISSIVE")
+    corrupt = T.StructField(CORRUPT, T.StringType())
+    reader = (
+        spark.read.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("header", header)
         .option("sep", sep)
@@ -72,13 +102,24 @@ def read_delimited(
         .option("escape", quote)
         .option("multiLine", multi_line)
         .option("nullValue", null_value)
-        # Headers of increments vary in order and case; columns go by position.
         .option("enforceSchema", True)
-        .csv(path)
+        # A row is judged by all columns of its file, also by those that are left out.
+        .option("columnPruning", False)
     )
-    parsed = cut_lineage(parsed)
+    if header:
+        parts = [
+            _named(reader, files, names, schema, corrupt)
+            for names, files in layouts(spark, path, sep, quote).items()
+        ]
+    else:
+        parts = [reader.schema(T.StructType([*schema.fields, corrupt])).csv(path)]
+    if not parts:
+        parts = [spark.createDataFrame([], T.StructType([*schema.fields, corrupt]))]
+    parsed = cut_lineage(functools.reduce(DataFrame.unionByName, parts))
     good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     rejected = parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("rejected"))
+    if rejects is not None:
+        rejects.append(rejected.withColumn("path", F.lit(path)))
     if reject_max is not None:
         bad = rejected.count()
         if bad > reject_max:
@@ -86,6 +127,26 @@ def read_delimited(
     return good, rejected
 
 
+def _named(reader, files: list[str], names: tuple[str, ...], schema: T.StructType, corrupt: T.StructField) -> DataFrame:
+    """Files of one header as columns of ``schema``, with the text of rows that do not fit."""
+    known = {f.name.lower(): f for f in schema.fields}
+    if len(set(names)) < len(names):
+        raise ValueError(f"{files[0]}: the header names a column twice: {', '.join(names)}")
+    if not known.keys() & set(names):
+        raise ValueError(f"{files[0]}: the header names no column of the table: {', '.join(names)}")
+    # Columns that are left out keep a name that no wanted column has.
+    fields = [
+        T.StructField(known[n].name, known[n].dataType) if n in known else T.StructField(f"_other{i}", T.StringType())
+        for i, n in enumerate(names)
+    ]
+    rows = reader.schema(T.StructType([*fields, corrupt])).csv(files)
+    columns = [
+        (F.col(f.name) if f.name.lower() in names else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ]
+    return rows.select(*columns, CORRUPT)
+
+
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
     """City list: ``;`` separated with header, coordinates with a decimal comma."""
     return clean_cities(spark.read.option("header", True).option("sep", ";").csv(path))
@@ -114,6 +175,25 @@ def prepare_increment(
     return kept
 
 
+def load_increment(
+    spark: SparkSession,
+    path: str,
+    staging: Table,
+    key: str = "uniq_id",
+    defaults: Mapping[str, object] | None = None,
+    reject_max: int | None = None,
+    rejects: Table | None = None,
+) -> None:
+    """Files of an increment into its staging table; rows whose key is there already stay as they are.
+
+    Columns go by the names in the files. ``defaults`` fill columns that no file has; a row whose file
+    lacks one that others have gets the default, too. A repeated load changes nothing.
+    """
+    rows, _ = read_delimited(spark, path, staging.schema, reject_max=reject_max, rejects=rejects)
+    rows = rows.fillna(dict(defaults or {}))
+    staging.insert_if_new(rows, [key])
+
+
 def read_documents(spark: SparkSession, path: str, id_col: str, schema: T.StructType) -> DataFrame:
     """JSON lines as documents: natural id and the whole body as text."""
     lines = spark.read.text(path)

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
+from martwright.operators.tables import Table
 from martwright.sources import readers, writers
 
 LOG = "group_id BIGINT, user_id BIGINT, user_id_from BIGINT, event STRING, datetime TIMESTAMP_NTZ"
@@ -106,3 +107,53 @@ def test_day_extract_reaches_the_scan_as_a_range(spark, tmp_path):
     assert found.count() == 1
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(t" in plan and "LessThan(t" in plan
+
+
+PAIR = T.StructType().add("id", "long").add("a", "string").add("b", "string")
+
+
+def test_columns_go_by_the_names_in_each_file(spark, tmp_path):
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    (folder / "1.csv").write_text("id,a,b\n1,x,y\n")
+    (folder / "2.csv").write_text('﻿B,"A",ID\ny,x,2\n')
+    (folder / "3.csv").write_text("\nextra,b,id\n7,y,3\nshort\n8,9,oops\n")
+    (folder / "4.csv").write_text("")
+    good, rejected = readers.read_delimited(spark, str(folder), PAIR)
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "x", "y"), (2, "x", "y"), (3, None, "y")]
+    assert sorted(r[0] for r in rejected.collect()) == ["8,9,oops", "short"]
+    assert [len(files) for _, files in sorted(readers.layouts(spark, str(folder)).items())] == [1, 1, 1]
+
+
+def test_headers_that_fit_nothing_fail(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1,x,y\n2,x,y\n")
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_delimited(spark, str(tmp_path / "x.csv"), PAIR)
+    (tmp_path / "y.csv").write_text("id,a,A\n2,x,y\n")
+    with pytest.raises(ValueError, match="twice"):
+        readers.read_delimited(spark, str(tmp_path / "y.csv"), PAIR)
+    (tmp_path / "z.csv").write_text("")
+    good, rejected = readers.read_delimited(spark, str(tmp_path / "z.csv"), PAIR)
+    assert good.columns == PAIR.names and good.count() == rejected.count() == 0
+
+
+def test_rejects_are_kept_when_the_load_fails(spark, tmp_path):
+    kept = Table(spark, str(tmp_path / "rejects"), readers.REJECTS)
+    path = _log(tmp_path, 3)
+    with pytest.raises(readers.RejectLimitError):
+        readers.read_delimited(spark, path, T.StructType.fromDDL(LOG), reject_max=2, rejects=kept)
+    assert {(r["path"], r["rejected"][0]) for r in kept.read().collect()} == {(path, "x")}
+    assert kept.read().count() == 3
+
+
+def test_increments_are_staged_once(spark, tmp_path):
+    folder = tmp_path / "increment"
+    folder.mkdir()
+    (folder / "1.csv").write_text("id,uniq_id,n\n1,a,5\n2,a,5\n3,b,6\n")
+    staging = Table(spark, str(tmp_path / "staged"), "uniq_id STRING, n INT, status STRING")
+    readers.load_increment(spark, str(folder), staging, defaults={"status": "shipped"})
+    (folder / "2.csv").write_text("status,N,uniq_id\nrefunded,7,c\n,8,a\n")
+    for _ in range(2):
+        readers.load_increment(spark, str(folder), staging, defaults={"status": "shipped"})
+    found = sorted(tuple(r) for r in staging.read().collect())
+    assert found == [("a", 5, "shipped"), ("b", 6, "shipped"), ("c", 7, "refunded")]
