@@ -14,7 +14,7 @@ from martwright.plans.order_vault import HUBS, LINKS, SATELLITES
 from martwright.sources.readers import parse_messages
 from martwright.sources.writers import as_messages
 from martwright.streaming import campaigns, orders
-from martwright.streaming.batches import BATCH, Journal, compact
+from martwright.streaming.batches import BATCH, Journal, compact, finished_batches, poll
 
 # Fixed "now" of the campaign test, epoch seconds.
 NOW = 1700003000
@@ -233,6 +233,23 @@ def order_landing(spark, sf_dir):
     )
 
 
+@query("order_landing_polled", "SELECT object_id, 'order' AS object_type, status FROM {v_order_head} "
+       "WHERE object_id IN (SELECT object_id FROM {v_order_line})")
+def order_landing_polled(spark, sf_dir):
+    """The same, polled four files at a time, stopped after the first batch and continued from the checkpoint."""
+    root = scratch(spark, "polled")
+    source = {**_land(order_messages(spark, sf_dir), f"{root}/in"), "maxFilesPerTrigger": "4"}
+    landing = orders.landing_table(spark, f"{root}/landed")
+    polled = orders.start_landing(
+        spark, source, landing, f"{root}/checkpoint", trigger={"processingTime": "1 second"}
+    )
+    poll(polled, lambda: finished_batches(polled) >= 1, pause=0.2)
+    orders.start_landing(spark, source, landing, f"{root}/checkpoint").awaitTermination()
+    return landing.read().select(
+        "object_id", "object_type", F.get_json_object("payload", "$.status").alias("status")
+    )
+
+
 # -- counters ---------------------------------------------------------------
 
 

@@ -153,3 +153,30 @@ def run_stream(
         .trigger(**(trigger or {"availableNow": True}))
     )
     return (writer.queryName(name) if name else writer).start()
+
+
+def poll(query, stop: Callable[[], bool], pause: float = 1.0) -> None:
+    """Let a continuous query run until ``stop()`` and end it between two batches.
+
+    ``stop`` is asked every ``pause`` seconds. The batch that is under way then is finished first. If the
+    next one has started by the time the query ends, it is run again by the next start from the
+    checkpoint, with the same rows.
+    """
+    while query.isActive and not stop():
+        query.awaitTermination(pause)
+    done = _last_batch(query)
+    while query.isActive and query.status["isTriggerActive"] and _last_batch(query) == done:
+        query.awaitTermination(pause / 10)
+    query.stop()
+    # A query that has failed raises here.
+    query.awaitTermination()
+
+
+def _last_batch(query) -> int:
+    last = query.lastProgress
+    return last["batchId"] if last else -1
+
+
+def finished_batches(query) -> int:
+    """Batches with rows that a query has committed since it started."""
+    return sum(p["numInputRows"] > 0 for p in query.recentProgress)

@@ -162,6 +162,40 @@ def test_landing_keeps_one_row_per_order(spark, tmp_path, rows):
     assert rows(landing.read(), "object_id") == [(1,), (2,)]
 
 
+def test_polling_is_bounded_and_goes_on_after_a_stop(spark, tmp_path, rows):
+    """At most 100 messages per batch; two runs leave what one run leaves."""
+    for name in range(6):
+        _land(tmp_path / "in", f"{name}.txt", [_order(name * 60 + i) for i in range(100)])
+    source = {"format": "text", "path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}
+    landing = orders.landing_table(spark, str(tmp_path / "stg"))
+    first = orders.start_landing(
+        spark, source, landing, str(tmp_path / "cp"), trigger={"processingTime": "1 second"})
+    batches.poll(first, lambda: batches.finished_batches(first) >= 2, pause=0.1)
+    assert not first.isActive
+    early = landing.read().count()
+    assert 160 <= early < 400
+    rest = orders.start_landing(spark, source, landing, str(tmp_path / "cp"))
+    rest.awaitTermination()
+    read = [p["numInputRows"] for q in (first, rest) for p in q.recentProgress if p["numInputRows"]]
+    assert max(read) <= 100 and sum(read) == 600
+    whole = orders.landing_table(spark, str(tmp_path / "whole"))
+    orders.start_landing(spark, source, whole, str(tmp_path / "other")).awaitTermination()
+    found = rows(landing.read(), "object_id")
+    assert found == rows(whole.read(), "object_id") and sorted(found) == [(i,) for i in range(400)]
+
+
+def test_polling_raises_what_a_batch_raised(spark, tmp_path):
+    _land(tmp_path / "in", "1.txt", [_order(1)])
+    raw = spark.readStream.schema("value STRING").text(str(tmp_path / "in"))
+
+    def broken(batch, epoch_id):
+        raise RuntimeError("no sink")
+
+    query = batches.run_stream(raw, broken, str(tmp_path / "cp"), {"processingTime": "1 second"})
+    with pytest.raises(Exception, match="no sink"):
+        batches.poll(query, lambda: False, pause=0.1)
+
+
 def test_unreadable_messages_do_not_stop_the_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.txt").write_text("not json\n" + json.dumps(_order(1)) + "\n")
