@@ -449,6 +449,14 @@ def test_friends(spark, rows):
     assert rows(reference, "user_left", "user_right") == [(1, 2), (1, 2), (2, 3)]
 
 
+def test_friends_shuffle_no_pairs(spark, capsys):
+    """Exchanges take members only: none is above the join that makes the pairs."""
+    events = [_event(i, i, "2024-01-01 10:00", group=g) for i in range(4) for g in (1, 2)]
+    geo.friends_mart(_located(spark, events), "2024-01-01").explain("simple")
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
+
+
 def test_flatten_nested_events(spark):
     nested = spark.createDataFrame(
         [((1, 2, None, None, "2024-01-01 10:00:00.5"), 1.0, 2.0, day("2024-01-01"), "message"),

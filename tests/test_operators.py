@@ -263,3 +263,13 @@ def test_blocks_bound_both_sides_of_a_hot_key(spark):
     total = lambda df: df.selectExpr("count(*)", "bit_xor(xxhash64(k, l, r))", "sum(l * 7 + r)").first()
     assert total(found) == total(plain)
     assert found.count() == found.distinct().count()
+
+
+def test_a_hot_key_is_not_copied_with_its_size(spark):
+    """A key of n rows cut by eight once made n / 8 copies of each of its rows."""
+    from martwright.operators.skew import blocks
+
+    side = spark.range(4000).selectExpr("1 AS k", "id")
+    rows, cols = blocks(side, side, ["k"], 8)
+    assert rows.count() <= 8 * 4000 and cols.count() <= 8 * 4000
+    assert rows.select("_row", "_col").distinct().count() > 1
