@@ -16,6 +16,13 @@ def uuid5(*parts: Column, namespace: uuid.UUID = uuid.NAMESPACE_X500) -> Column:
     """
     name = F.encode(F.concat(*[p.cast("string") for p in parts]), "UTF-8")
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), name))
+    # The digest is bound to a variable: named in six places of one expression it was made six times
+    # over, and 36 times where a key is part of another one.
+    return F.transform(F.array(digest), _uuid_text)[0]
+
+
+def _uuid_text(digest: Column) -> Column:
+    """The hex digest as a version-5 UUID."""
     # Two top bits of the 17th hex digit become binary 10 (the RFC variant).
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat(

@@ -98,3 +98,8 @@ def test_haversine(spark):
     found = frame.select("*", fn.haversine(*[F.col(c) for c in "abcd"]).alias("km")).collect()
     for a, b, c, d, km in found:
         assert abs(km - _haversine(a, b, c, d)) < 1e-6
+
+
+def test_uuid5_makes_each_digest_once(spark):
+    nested = str(fn.uuid5(fn.uuid5(F.col("a")), F.col("b")))
+    assert nested.count("sha1") == 2
