@@ -22,8 +22,8 @@ NOW = 1700003000
 
 def _land(messages, path):
     """Two folders with the same messages: the second is a replay."""
-    messages.write.text(f"{path}/part=1")
-    messages.sparkSession.read.text(f"{path}/part=1").write.text(f"{path}/part=2")
+    messages.write.text(f"{path}/part=1", compression="gzip")
+    messages.sparkSession.read.text(f"{path}/part=1").write.text(f"{path}/part=2", compression="gzip")
     return {"format": "text", "path": f"{path}/part=*", "maxFilesPerTrigger": "1000"}
 
 
@@ -109,7 +109,7 @@ def _run_vault(spark, sf_dir, names):
     root = scratch(spark, "orders")
     source = _land(order_messages(spark, sf_dir), f"{root}/in")
     tables = orders.vault_tables(spark, f"{root}/vault", names)
-    enriched = {"format": "text", "path": f"{root}/enriched"}
+    enriched = {"format": "text", "path": f"{root}/enriched", "compression": "gzip"}
     orders.start_vault(
         spark, source, tables, enriched, checkpoint=f"{root}/checkpoint"
     ).awaitTermination()

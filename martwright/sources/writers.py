@@ -59,7 +59,8 @@ def write_messages(rows: DataFrame, options: Mapping[str, str], batch: str) -> N
     if sink == "kafka":
         rows.write.format(sink).options(**options).save()
     else:
-        rows.write.mode("overwrite").format(sink).save(f"{options['path']}/batch={batch}")
+        path = options.pop("path")
+        rows.write.mode("overwrite").format(sink).options(**options).save(f"{path}/batch={batch}")
 
 
 def preview(rows: DataFrame, n: int = 10) -> DataFrame:

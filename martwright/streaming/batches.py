@@ -115,8 +115,11 @@ def rows_of(table: Table, batch: str) -> DataFrame:
 
 
 def replace_batch(table: Table, rows: DataFrame, batch: str) -> None:
-    """Store the rows of a batch, replacing an earlier attempt."""
-    table.overwrite_slices(rows.withColumn(BATCH, F.lit(batch)))
+    """Store the rows of a batch, replacing an earlier attempt.
+
+    All of them belong to one partition, so that no shuffle need gather them.
+    """
+    table.overwrite_slices(rows.withColumn(BATCH, F.lit(batch)), gather=False)
 
 
 def compact(table: Table, keys: Sequence[str]) -> None:

@@ -60,7 +60,7 @@ def start_landing(
     journal = Journal(spark, checkpoint, stream)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        insert_new(landing, cut_lineage(batch), ["object_id"], journal.batch(epoch_id))
+        insert_new(landing, cut_lineage(batch, "zstd"), ["object_id"], journal.batch(epoch_id))
 
     return run_stream(messages, handle, checkpoint, trigger)
 
@@ -85,7 +85,7 @@ def vault_handler(
     """Handler of one micro-batch of order messages."""
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        orders = cut_lineage(closed_orders(batch))
+        orders = cut_lineage(closed_orders(batch), "zstd")
         if orders.isEmpty():
             return
         name = batch_name(stream, epoch_id)
@@ -148,7 +148,7 @@ def counter_handler(
     """
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        orders = cut_lineage(batch.dropDuplicates(["object_id"]))
+        orders = cut_lineage(batch.dropDuplicates(["object_id"]), "zstd")
         if orders.isEmpty():
             return
         name = batch_name(stream, epoch_id)

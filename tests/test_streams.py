@@ -235,3 +235,19 @@ def test_retry_at_a_later_clock_changes_nothing(spark, tmp_path, rows):
     assert rows(feedback.read(), batches.BATCH, "client_id") == sorted(
         [(journal.batch(0), "a"), (again.batch(0), "a"), (again.batch(0), "b")]
     )
+
+
+def test_messages_are_compressed_and_batches_not_gathered(spark, tmp_path, rows, monkeypatch):
+    from martwright.operators.tables import Table
+    from martwright.sources.writers import write_messages
+
+    path = str(tmp_path / "out")
+    messages = spark.createDataFrame([("a",), ("b",)], "value STRING")
+    write_messages(messages, {"format": "text", "path": path, "compression": "gzip"}, "s-0")
+    assert list((tmp_path / "out").glob("batch=s-0/part-*.gz")) and not list((tmp_path / "out").glob("batch=s-0/part-*.txt"))
+    assert rows(spark.read.text(path), "value") == [("a",), ("b",)]
+    monkeypatch.setattr(Table, "_gathered", lambda *_: pytest.fail("rows of one batch were shuffled"))
+    table = batches.batch_table(spark, str(tmp_path / "t"), messages.schema)
+    for _ in range(2):
+        batches.replace_batch(table, messages, "s-0")
+    assert rows(table.read(), "value") == [("a",), ("b",)]
