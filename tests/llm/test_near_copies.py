@@ -82,3 +82,23 @@ def test_no_link_is_lost_between_chunks(spark, monkeypatch):
     want, _ = plain_classes(texts)
     kept = sorted(r.doc_id for r in near_copies.one_of_each(docs.repartition(3)).collect())
     assert kept == sorted(set(want)) and len(kept) > 40
+
+
+def test_fingerprints_of_similar_texts_are_near():
+    """Pairs 0.8 alike keep within NEAR bits, few strangers do (texts of few shingles), and pivots part no pair."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    prints = []
+    for n in [4, 8, 40, 400, 5000] * 40:
+        same, own = rng.integers(0, 2**64, n, dtype=np.uint64), max(1, n // 4)
+        a = np.concatenate([same, rng.integers(0, 2**64, own // 2, dtype=np.uint64)])
+        b = np.concatenate([same, rng.integers(0, 2**64, own - own // 2, dtype=np.uint64)])
+        prints += [near_copies.fingerprint_of(a), near_copies.fingerprint_of(b)]
+    prints = np.stack(prints)
+    table = near_copies.pivot_table(prints)
+    assert table.shape == (400, near_copies.PIVOTS)
+    for x in range(0, 400, 2):
+        far = near_copies.bits_apart(prints[x], prints)
+        assert far[x + 1] <= near_copies.NEAR and (np.delete(far, [x, x + 1]) <= near_copies.NEAR).sum() <= 8
+        assert np.abs(table[x] - table[x + 1]).max() <= far[x + 1]
