@@ -194,6 +194,36 @@ def test_refresh_reads_the_touched_partitions_only(spark, star_parts, tmp_path):
     assert star.count() == 4
 
 
+def test_months_are_counted_after_one_shuffle_of_lines(spark):
+    star = spark.range(50).selectExpr(
+        "id % 7 AS customer_id", "date_add(DATE'2024-01-01', int(id % 5)) AS report_month", "id AS order_id", "id % 3 AS craftsman_id",
+        "'art' AS product_type", "1.00BD AS product_price", "1 AS diff_order_date", "'done' AS order_status",
+    )
+    plan = customer_report._months_corrected(star)._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange hashpartitioning"), plan.count("Expand")) == (1, 0)
+
+
+def test_ties_nulls_and_lines_without_order_id(spark, rows):
+    lines = [
+        # customer, order, craftsman, type, days
+        (1, 1, 30, None, 1), (1, 2, 20, "b", None), (1, None, 10, "a", 9), (1, None, 10, "a", 9),
+        (2, 3, 5, "b", 4), (2, 4, 5, "a", 8), (3, None, 7, "z", 3), (3, None, 6, None, 3),
+    ]
+    star = spark.createDataFrame(
+        [(c, day("2024-01-01"), o, m, p, D("1.00"), d, "done") for c, o, m, p, d in lines],
+        "customer_id BIGINT, report_month DATE, order_id BIGINT, craftsman_id BIGINT, product_type STRING, "
+        "product_price DECIMAL(18,2), diff_order_date INT, order_status STRING",
+    )
+    months = customer_report._months_corrected(star)
+    columns = (
+        "customer_id", "customer_costs", "total_order_count", "count_order_done", "median_time_order_completed",
+        "top_craftsman_id", "top_product_category",
+    )
+    assert rows(months, *columns) == [
+        (1, D("4.00"), 2, 2, 1.0, 20, None), (2, D("2.00"), 2, 2, 6.0, 5, "a"), (3, D("2.00"), 0, 0, None, 6, None),
+    ]
+
+
 def test_probe_counts_the_fan_out(star, star_parts, rows):
     report = customer_report.customer_report(star, star_parts[2])
     found = customer_report.customers_with_many_rows(star, report)
