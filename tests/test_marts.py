@@ -224,6 +224,13 @@ def test_ties_nulls_and_lines_without_order_id(spark, rows):
     ]
 
 
+def test_reference_makes_its_star_once(spark, star, star_parts, monkeypatch):
+    written = []
+    monkeypatch.setattr(customer_report, "cut_lineage", lambda frame: written.append(frame.columns) or frame)
+    report = customer_report.customer_report(star, star_parts[2], "reference")
+    assert len(written) == 1 and "product_type" in written[0] and report.count() == 5
+
+
 def test_probe_counts_the_fan_out(star, star_parts, rows):
     report = customer_report.customer_report(star, star_parts[2])
     found = customer_report.customers_with_many_rows(star, report)
