@@ -231,6 +231,22 @@ def test_reference_makes_its_star_once(spark, star, star_parts, monkeypatch):
     assert len(written) == 1 and "product_type" in written[0] and report.count() == 5
 
 
+def test_dimensions_are_not_asked_for_orders_that_are_new(spark, star_parts, rows):
+    """A fact without load time has no mark of its own and is found through its dimensions."""
+    f_order, craft, customer, product = star_parts
+    unstamped = f_order.where("order_id = 6").withColumn("load_dttm", F.lit(None).cast("timestamp_ntz"))
+    sides = as_sides(f_order.where("order_id < 6").unionByName(unstamped), craft, customer, product)
+    newest = customer_report.newest_loads(sides)
+    touched = customer_report.touched_months(sides, {}, newest)
+    assert rows(touched) == [
+        (1, day("2024-01-01")), (1, day("2024-02-01")), (2, day("2024-01-01")),
+    ]
+    stored = customer_report.cut_lineage(sides["f_order"].where("order_id < 6"))
+    new_only = customer_report.touched_months({**sides, "f_order": stored}, {}, newest)
+    text = new_only._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftSemi") == 3 and text.count("NOT coalesce") == 3
+
+
 def test_probe_counts_the_fan_out(star, star_parts, rows):
     report = customer_report.customer_report(star, star_parts[2])
     found = customer_report.customers_with_many_rows(star, report)
