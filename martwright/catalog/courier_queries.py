@@ -211,16 +211,20 @@ def courier_dds_json(spark, sf_dir):
             "dm_couriers", "dm_delivery_addresses", "dm_deliveries", "fct_courier_deliveries",
         )
     }
-    orders = view(spark, sf_dir, "v_deliveries").select(
-        F.col("delivery_id").alias("id"),
-        F.concat(F.lit("o"), F.col("delivery_id").cast("string")).alias("order_key"),
+    # Made once: both loads read the same orders.
+    orders = cut_lineage(
+        view(spark, sf_dir, "v_deliveries").select(
+            F.col("delivery_id").alias("id"),
+            F.concat(F.lit("o"), F.col("delivery_id").cast("string")).alias("order_key"),
+        )
     )
     sales = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("total_sum"),
     )
     for _ in range(2):
-        parsed = plan.parsed_deliveries(delivery_docs)
+        # Addresses, deliveries and facts read the parsed documents.
+        parsed = cut_lineage(plan.parsed_deliveries(delivery_docs))
         plan.load_couriers(people_docs, tables["dm_couriers"])
         plan.load_addresses(parsed, tables["dm_delivery_addresses"])
         plan.load_deliveries(

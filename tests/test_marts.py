@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright import schemas
+from martwright.catalog import courier_queries
+from martwright.operators import workspace
 from martwright.operators.quality import QualityError, check_constraints
 from martwright.operators.tables import Table
 from martwright.plans import couriers, customer_report, finance, geo, group_vault, sales
@@ -353,6 +355,25 @@ def test_tier_tables_that_leave_the_pay_open_are_refused(spark, tiers):
         couriers.tiers_in_order(tier_table(spark, *tiers))
 
 
+def test_courier_load_makes_orders_and_parsed_documents_once(spark, tmp_path, monkeypatch, rows):
+    made = []
+    monkeypatch.setattr(
+        courier_queries, "cut_lineage", lambda frame: made.append(frame.columns) or workspace.cut_lineage(frame)
+    )
+    deliveries = spark.sql(
+        """SELECT 1L AS delivery_id, 7L AS courier_id, 'seven' AS courier_name, 'addr' AS address,
+        TIMESTAMP_NTZ'2024-01-01 10:00:00' AS delivery_ts, 5 AS rate, 9.00BD AS delivery_sum, 1.50BD AS tip_sum"""
+    )
+    monkeypatch.setattr(courier_queries, "view", lambda *_: deliveries)
+    spark.sql("SELECT 1L AS l_orderkey, 9.0D AS l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = courier_queries.courier_dds_json(spark, str(tmp_path))
+    assert rows(found, "delivery_key", "courier_name", "rate", "delivery_sum", "tip_sum") == [
+        ("1", "seven", 5, D("9.00"), D("1.50"))
+    ]
+    assert sum("order_key" in columns for columns in made) == 1
+    assert sum("tip_sum" in columns for columns in made) == 2
+
+
 @pytest.mark.parametrize("rate,pay", [(1, 30), (2, 30), (3, 30), (4, 60), (5, 60), (None, 60)])
 def test_courier_pay_follows_the_tier_table(spark, rate, pay):
     facts = spark.createDataFrame(
