@@ -41,6 +41,12 @@ def test_leaders_keep_ties(spark, rows):
     assert rows(pick.leaders(frame, ["k"], "n"), "v") == [("a",), ("b",)]
 
 
+@pytest.mark.parametrize("values", [[], [1, 2, None], [*range(50), 7, None, None], [1, 1, 2, 2, None, None]])
+def test_distinct_rows(spark, rows, values):
+    frame = spark.createDataFrame([(v, None if v is None else str(v)) for v in values], "a INT, b STRING")
+    assert rows(pick.distinct_rows(frame.repartition(3))) == rows(frame.distinct())
+
+
 def test_global_dense_rank(spark, rows):
     frame = spark.createDataFrame([("a", 5), ("b", 5), ("c", 2), ("d", None)], "k STRING, n INT")
     ranked = pick.global_dense_rank(frame, "n", "r")
