@@ -116,6 +116,24 @@ def test_quality_counts(odd_docs, no_docs):
     assert quality.judge(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_texts_without_words_are_judged(spark, texts, tmp_path, limit):
+    """Texts without words or lines fail the base rules, whichever join brings the fences."""
+    from martwright.llm import queries
+
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(-1, None, "en", "s"), (-2, "", None, None), (-3, " \n\t\n ", "xx", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    had = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found = {r.doc_id: r for r in queries.QUERIES["op7_quality_rules"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", had)
+    assert len(found) == len(rows) and any(r.kept for r in found.values())
+    for i in (-1, -2, -3):
+        assert found[i].n_words == 0 and found[i].base_failed and found[i].kept is False
+
+
 def test_quality_verdicts_follow_the_labels(spark):
     sf = "/root/testdata/sf0.01"
     judged = quality.judge(spark.read.parquet(f"{sf}/documents.parquet"))
