@@ -1,4 +1,5 @@
 import html
+import json
 import re
 
 from martwright.llm import shipping, wrappers
@@ -77,6 +78,22 @@ def test_pages_decide_by_themselves_whether_they_hold_an_article(spark):
     assert {found[30 + i] for i in range(5)} == {"copied text"}
 
 
+def test_the_wrapper_names_the_slots_of_either_kind_of_page(spark):
+    with_article = "<body><div class=x>out {0}</div><article><h1>Head {0}</h1><p>in {0}</p><p>Read more on our site</p></article>"
+    rows = [("h", with_article.format(i)) for i in range(4)] + [("h", "<article><div><p>more</p></div></article>")]
+    rows += [("h", f"<div class=text><p>body {i} of some length</p></div><div class=x>same</div>") for i in range(3)]
+    rows += [("g", "<main>only articles here</main>"), ("f", None)]
+    shipping.importable(spark)
+    found = wrappers.chosen_slots(spark.createDataFrame(rows, "host string, html string").repartition(3)).collect()
+    found = {r.host: [x and json.loads(x) for x in (r.in_article, r.without)] for r in found}
+    assert found["h"] == [["*article>div>p", "*body>article>h1", "*body>article>p"], ["div.text>p"]]
+    assert found["g"] == [["*main"], None] and found["f"] == [None, []]
+    # An article is whole, whatever its pages share.
+    article = [[e, False] for e in ("article", ["+", ["p", "#*article>p"]], "#*article>h2", "#div")]
+    facts = {"*article>p": [5, 1, 1, [1, 2, 3]], "*article>h2": [900, 1, 2, [1, 2, 3]], "div": [5000, 1, 2, [1, 2, 3]]}
+    assert wrappers.main_slots(article, facts) == {"*article>p", "*article>h2"}
+
+
 def test_texts_that_all_different_pages_share_are_the_frame(spark):
     rows = [(i, "http://h.example/", f"<div><p>body {i} of some length</p><p class=end>Read more on our site</p></div>") for i in range(3)]
     assert texts(spark, rows) == {i: f"body {i} of some length" for i in range(3)}
