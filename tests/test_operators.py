@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+import math
 import random
 
 import pytest
@@ -157,6 +158,28 @@ def test_pairs_within_equals_brute_force(spark, rows, lat, lon, radius):
     assert expected and rows(found, "g", "left", "right") == expected
 
 
+@pytest.mark.parametrize("radius", [0.001, 1.0, 500.0, 20015.0, 30000.0])
+def test_chords_decide_as_the_haversine_does(spark, rows, radius):
+    """Pairs at the radius to the last bit, equal points and antipodes; chords leave only the closest to the haversine."""
+    from martwright.functions.geo import unit_vector
+    from martwright.operators.spatial import _chord_limits
+
+    places = [(0.0, 0.0), (-37.8136, 144.9631), (89.9999, 10.0), (-90.0, 0.0), (45.0, 180.0)]
+    step = math.degrees(radius / 6371.0)
+    near = [(lat + step * (1 + d), lon) for lat, lon in places for d in (0, 1e-15, -1e-15, 1e-12, -1e-12, 1e-6, -1e-6)]
+    points = [*places, *places, *((-lat, lon - 180) for lat, lon in places), *[(a, b) for a, b in near if abs(a) <= 90]]
+    frame = spark.createDataFrame([(1, i, *p) for i, p in enumerate(points)], "g int, u int, lat double, lon double")
+    a, b = (frame.select(*[F.col(c).alias(f"{c}{side}") for c in ("u", "lat", "lon")]) for side in (1, 2))
+    distance = haversine(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
+    vectors = zip(unit_vector(F.col("lat1"), F.col("lon1")), unit_vector(F.col("lat2"), F.col("lon2")), strict=True)
+    chord = sum((x - y) * (x - y) for x, y in vectors)
+    both = a.join(b, F.col("u1") < F.col("u2")).select("u1", "u2", (distance <= radius).alias("near"), chord.alias("c")).collect()
+    inside, outside = _chord_limits(radius)
+    assert all(r.near for r in both if r.c <= inside) and not any(r.near for r in both if r.c > outside)
+    found = pairs_within(frame, "g", "u", "lat", "lon", radius, hot_rows=10)
+    assert rows(found, "left", "right") == sorted(((r.u1, r.u2) for r in both if r.near), key=lambda r: tuple((False, str(v)) for v in r))
+
+
 def test_pairs_within_skips_missing_coordinates(spark, rows):
     frame = spark.createDataFrame(
         [(1, 1, 0.0, 0.0), (1, 2, None, 0.0), (1, 3, 0.0, 0.001)],
