@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright import schemas
@@ -35,7 +35,7 @@ VAULT = {**HUBS, **LINKS, **SATELLITES}
 
 
 def closed_orders(messages: DataFrame) -> DataFrame:
-    """Closed orders with the keys of order, user and restaurant."""
+    """Closed orders with the source's ids of order, user and restaurant."""
     body = F.col("payload")
     return messages.where(body["status"] == CLOSED).select(
         "object_id",
@@ -50,9 +50,6 @@ def closed_orders(messages: DataFrame) -> DataFrame:
         body["user"]["name"].alias("userlogin"),
         body["restaurant"]["id"].alias("restaurant_id"),
         body["restaurant"]["name"].alias("restaurant_name"),
-        uuid5(body["id"]).alias("h_order_pk"),
-        uuid5(body["user"]["id"]).alias("h_user_pk"),
-        uuid5(body["restaurant"]["id"]).alias("h_restaurant_pk"),
         body["products"].alias("products"),
     )
 
@@ -60,59 +57,68 @@ def closed_orders(messages: DataFrame) -> DataFrame:
 def order_lines(orders: DataFrame) -> DataFrame:
     """One row per product line of a closed order."""
     return orders.withColumn("p", F.explode("products")).select(
-        "h_order_pk",
-        "h_restaurant_pk",
+        "order_id",
+        "restaurant_id",
         F.col("p.id").alias("product_id"),
         F.col("p.name").alias("name"),
         F.col("p.category").alias("category_name"),
-        uuid5(F.col("p.id")).alias("h_product_pk"),
-        uuid5(F.col("p.category")).alias("h_category_pk"),
     )
 
 
+# Vault key -> the source's id that it is made of.
+_IDS = {
+    "h_order_pk": "order_id",
+    "h_user_pk": "user_id",
+    "h_restaurant_pk": "restaurant_id",
+    "h_product_pk": "product_id",
+    "h_category_pk": "category_name",
+}
+
+
+def _complete(*parts: Column) -> Column:
+    """:func:`uuid5` of parts that are not NULL.
+
+    Never NULL, so that a check of the key is not moved below the distinct rows, where it would hash all.
+    """
+    return F.coalesce(uuid5(*parts), F.lit(""))
+
+
 def vault_rows(orders: DataFrame) -> dict[str, DataFrame]:
     """Rows for every hub, link and satellite, named as the tables are.
 
     Hash keys of links and satellites join the text of their parts without a
-    delimiter.
+    delimiter. Rows that lack a part of their key are left out. The ids and
+    attributes of a table are made distinct before they are hashed: messages
+    repeat them by far, and each hash is dear.
     """
     lines = order_lines(orders)
-    c = F.col
-    keyed = {
-        "h_user": orders,
-        "h_restaurant": orders,
-        "h_order": orders,
-        "h_product": lines,
-        "h_category": lines,
-        "l_order_product": lines.withColumn(
-            "hk_order_product_pk", uuid5(c("h_order_pk"), c("h_product_pk"))
-        ),
-        "l_product_restaurant": lines.withColumn(
-            "hk_product_restaurant_pk", uuid5(c("h_product_pk"), c("h_restaurant_pk"))
-        ),
-        "l_product_category": lines.withColumn(
-            "hk_product_category_pk", uuid5(c("h_product_pk"), c("h_category_pk"))
-        ),
-        "l_order_user": orders.withColumn(
-            "hk_order_user_pk", uuid5(c("h_order_pk"), c("h_user_pk"))
-        ),
-        "s_user_names": orders.withColumn(
-            "hk_user_names_hashdiff", uuid5(c("h_user_pk"), c("username"), c("userlogin"))
-        ),
-        "s_product_names": lines.withColumn(
-            "hk_product_names_hashdiff", uuid5(c("h_product_pk"), c("name"))
-        ),
-        "s_restaurant_names": orders.withColumn("name", c("restaurant_name")).withColumn(
-            "hk_restaurant_names_hashdiff", uuid5(c("h_restaurant_pk"), c("name"))
-        ),
-        "s_order_cost": orders.withColumn(
-            "hk_order_cost_hashdiff", uuid5(c("h_order_pk"), c("cost"), c("payment"))
-        ),
-        "s_order_status": orders.withColumn(
-            "hk_order_status_hashdiff", uuid5(c("h_order_pk"), c("status"))
-        ),
+    restaurants = orders.withColumn("name", F.col("restaurant_name"))
+    # Table -> its rows, the hubs it names, other attributes, and the parts of its own key.
+    parts = {
+        "h_user": (orders, ["h_user_pk"], ["user_id"], []),
+        "h_restaurant": (orders, ["h_restaurant_pk"], ["restaurant_id"], []),
+        "h_order": (orders, ["h_order_pk"], ["order_id", "order_dt"], []),
+        "h_product": (lines, ["h_product_pk"], ["product_id"], []),
+        "h_category": (lines, ["h_category_pk"], ["category_name"], []),
+        "l_order_product": (lines, ["h_order_pk", "h_product_pk"], [], ["h_order_pk", "h_product_pk"]),
+        "l_product_restaurant": (lines, ["h_product_pk", "h_restaurant_pk"], [], ["h_product_pk", "h_restaurant_pk"]),
+        "l_product_category": (lines, ["h_product_pk", "h_category_pk"], [], ["h_product_pk", "h_category_pk"]),
+        "l_order_user": (orders, ["h_order_pk", "h_user_pk"], [], ["h_order_pk", "h_user_pk"]),
+        "s_user_names": (orders, ["h_user_pk"], ["username", "userlogin"], ["h_user_pk", "username", "userlogin"]),
+        "s_product_names": (lines, ["h_product_pk"], ["name"], ["h_product_pk", "name"]),
+        "s_restaurant_names": (restaurants, ["h_restaurant_pk"], ["name"], ["h_restaurant_pk", "name"]),
+        "s_order_cost": (orders, ["h_order_pk"], ["cost", "payment"], ["h_order_pk", "cost", "payment"]),
+        "s_order_status": (orders, ["h_order_pk"], ["status"], ["h_order_pk", "status"]),
     }
-    return {name: schemas.conform(rows, name) for name, rows in keyed.items()}
+    keyed = {}
+    for name, (source, hubs, attributes, own) in parts.items():
+        rows = source.select(*dict.fromkeys([*(_IDS[h] for h in hubs), *attributes])).distinct()
+        rows = rows.dropna(subset=[_IDS.get(c, c) for c in own or hubs])
+        rows = rows.withColumns({h: _complete(F.col(_IDS[h])) for h in hubs})
+        if own:
+            rows = rows.withColumn(VAULT[name], _complete(*[F.col(c) for c in own]))
+        keyed[name] = schemas.conform(rows, name)
+    return keyed
 
 
 def enriched_messages(orders: DataFrame) -> DataFrame:
@@ -127,7 +133,7 @@ def enriched_messages(orders: DataFrame) -> DataFrame:
             ),
         ),
     )
-    user = F.struct(F.col("h_user_pk").alias("id"))
+    user = F.struct(uuid5(F.col("user_id")).alias("id"))
     payload = F.struct(user.alias("user"), products.alias("products"))
     return orders.select("object_id", "object_type", payload.alias("payload"))
 

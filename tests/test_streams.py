@@ -115,6 +115,29 @@ def test_order_vault_counts_and_keys(spark, tmp_path):
     assert lines.count() == 4
 
 
+def test_vault_rows_are_distinct_before_they_are_hashed(spark, rows):
+    import re
+    import uuid
+
+    from martwright.plans.order_vault import closed_orders, vault_rows
+
+    lost = _order(4)
+    lost["payload"]["products"][0]["id"] = None
+    raw = spark.createDataFrame([(json.dumps(m),) for m in (_order(1), _order(1), _order(2), lost, lost)], "value STRING")
+    found = vault_rows(closed_orders(parse_messages(raw, orders.schemas.SCHEMAS["order_message"])))
+    key = lambda *parts: str(uuid.uuid5(uuid.NAMESPACE_X500, "".join(parts)))
+    product = _order(1)["payload"]["products"][0]["id"]
+    pairs = [(key(str(n)), key(product)) for n in (1, 2)]
+    assert rows(found["l_order_product"]) == sorted((key(*p), *p) for p in pairs)
+    assert rows(found["h_product"]) == [(key(product), product)]
+    assert rows(found["h_order"], "order_id") == [(1,), (2,), (4,)]
+    for name, table in found.items():
+        assert table.count() == table.distinct().count(), name
+        # No check of a key hashes the rows before they are distinct.
+        checked = table.where(F.col(VAULT[name]).isNotNull())._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search(r"Filter .*sha1", checked), name
+
+
 def test_same_batch_again_changes_nothing(spark, tmp_path, rows):
     tables = orders.vault_tables(spark, str(tmp_path / "v"), ["h_order", "l_order_product"])
     push = {"format": "text", "path": str(tmp_path / "e")}
