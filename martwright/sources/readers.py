@@ -214,8 +214,10 @@ def read_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format(source).options(**options).load()
 
 
-def read_messages(spark: SparkSession, options: Mapping[str, str], schema: T.StructType):
-    """Stream of JSON messages as columns of ``schema``.
+def read_messages(
+    spark: SparkSession, options: Mapping[str, str], schema: T.StructType, holding: str | None = None
+):
+    """Stream of JSON messages as columns of ``schema``; ``holding`` as in :func:`parse_messages`.
 
     ``format`` is ``kafka`` or ``text`` (one message per line of landed files);
     both give a ``value`` column, parsed the same way. Messages that are not
@@ -226,9 +228,17 @@ def read_messages(spark: SparkSession, options: Mapping[str, str], schema: T.Str
     stream = spark.readStream.format(source)
     if source == "text":
         stream = stream.schema("value STRING")
-    return parse_messages(stream.options(**options).load(), schema)
+    return parse_messages(stream.options(**options).load(), schema, holding)
 
 
-def parse_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    body = F.from_json(F.col("value").cast("string"), schema)
+def parse_messages(raw: DataFrame, schema: T.StructType, holding: str | None = None) -> DataFrame:
+    """Columns of ``schema`` from JSON texts in ``value``.
+
+    Texts that cannot hold the value ``holding``, a plain word, are left out unparsed: they have neither
+    the word nor an escape, by which JSON may spell it otherwise.
+    """
+    text = F.col("value").cast("string")
+    if holding:
+        raw = raw.where(text.contains(holding) | text.contains("\\u"))
+    body = F.from_json(text, schema)
     return raw.select(body.alias("_m")).select("_m.*")

@@ -12,6 +12,7 @@ from martwright import schemas
 from martwright.operators.tables import Table
 from martwright.operators.workspace import cut_lineage
 from martwright.plans.order_vault import (
+    CLOSED,
     VAULT,
     closed_orders,
     count_orders,
@@ -112,7 +113,8 @@ def start_vault(
     stream: str = "orders",
     trigger: Mapping[str, object] | None = None,
 ):
-    messages = read_messages(spark, source, schemas.SCHEMAS["order_message"])
+    # Only closed orders go to the vault: messages that cannot be one need no parsing.
+    messages = read_messages(spark, source, schemas.SCHEMAS["order_message"], CLOSED)
     name = Journal(spark, checkpoint, stream).stream
     return run_stream(messages, vault_handler(tables, enriched, name), checkpoint, trigger)
 

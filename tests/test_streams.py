@@ -138,6 +138,17 @@ def test_vault_rows_are_distinct_before_they_are_hashed(spark, rows):
         assert not re.search(r"Filter .*sha1", checked), name
 
 
+def test_messages_that_cannot_hold_a_value_are_left_out(spark, rows):
+    texts = [json.dumps(_order(1)), json.dumps(_order(2, status="OPEN")), None, "no json CLOSED"]
+    texts.append(json.dumps(_order(3)).replace("CLOSED", "\\u0043LOSED"))
+    raw = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    schema = orders.schemas.SCHEMAS["order_message"]
+    found = parse_messages(raw, schema, "CLOSED")
+    assert rows(found, "object_id") == [(1,), (3,), (None,)]
+    closed = lambda messages: rows(messages.where("payload.status = 'CLOSED'"), "object_id")
+    assert closed(found) == closed(parse_messages(raw, schema)) == [(1,), (3,)]
+
+
 def test_same_batch_again_changes_nothing(spark, tmp_path, rows):
     tables = orders.vault_tables(spark, str(tmp_path / "v"), ["h_order", "l_order_product"])
     push = {"format": "text", "path": str(tmp_path / "e")}
